@@ -23,11 +23,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: object) -> DataFrame:
     """df, written as Parquet in the shared folder and reread: its lineage ends there, so lost executors cost no rerun."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/phenolith/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
     return out

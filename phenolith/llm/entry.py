@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import bpe, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,16 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup,)}
+def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents")))
+    n = (F.octet_length("ids") / 4).cast("long")
+    return found.select(F.col("id").alias("doc_id"), n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op7_warc_bundles, op8_bpe)}
 
 ORACLES: dict[str, str] = {}

@@ -41,7 +41,10 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     for at in range(0, n, PIECE):
         part = words[at : min(at + PIECE, n) + shingle - 1]
         h = np.array([h64(join(x), SEED) for x in zip(*(part[k:] for k in range(shingle)), strict=False)], "<u8")
-        total += np.add.reduce(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.int64)
+        raw = np.zeros((-(-len(h) // 255) * 255, 8), np.uint8)  # sums of 255 bits fit a byte
+        raw[: len(h)] = h.view(np.uint8).reshape(-1, 8)
+        sums = np.add.reduce(np.unpackbits(raw, axis=1, bitorder="little").reshape(-1, 255, 64), axis=1, dtype=np.uint8)
+        total += sums.sum(axis=0, dtype=np.int64)
     bits = np.packbits(2 * total > n, bitorder="little")
     return int(bits.view("<u8")[0])
 
