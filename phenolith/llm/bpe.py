@@ -13,6 +13,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 #: Characters with the Unicode property White_Space.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Words that the cache holds before it starts anew, characters of a word that may enter it, and of texts handled at once.
-CACHE_WORDS, CACHE_CHARS, PIECE = 200_000, 40, 1 << 18
+CACHE_WORDS, CACHE_CHARS, PIECE = 600_000, 40, 1 << 20
+#: Symbols up to which words are merged side by side in numpy; longer ones are merged one by one, with a heap.
+SIDE_BY_SIDE = 64
 NEVER = np.int64(1) << 62
 
 
@@ -40,6 +43,39 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(rest)) for b in range(256)]
 
 
+class Lookup:
+    """A fixed map from non-negative longs to longs, by open addressing in numpy arrays."""
+
+    def __init__(self, keys: list[int], values: list[int]):
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int64)
+        todo, code, val = np.arange(len(keys)), np.array(keys, np.int64), np.array(values, np.int64)
+        slot = self._slot(code)
+        while len(todo):
+            free = self.keys[slot[todo]] < 0
+            first = todo[free][np.unique(slot[todo[free]], return_index=True)[1]]
+            self.keys[slot[first]], self.values[slot[first]] = code[first], val[first]
+            todo = np.setdiff1d(todo, first)
+            taken = todo[self.keys[slot[todo]] >= 0]
+            slot[taken] = (slot[taken] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, code: np.ndarray) -> np.ndarray:
+        return (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, code: np.ndarray, default: int) -> np.ndarray:
+        slot = self._slot(code)
+        key = self.keys[slot]
+        out = np.where(key == code, self.values[slot], default)
+        left = np.flatnonzero((key != code) & (key >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+            key = self.keys[slot[left]]
+            hit = key == code[left]
+            out[left[hit]] = self.values[slot[left[hit]]]
+            left = left[~hit & (key >= 0)]
+        return out
+
+
 class WordBpe:
     """Byte-level BPE with word ends over lower-cased NFC text, from the JSON of a tokenizer file."""
 
@@ -53,8 +89,12 @@ class WordBpe:
         for s, k in [*vocab.items(), *self.special.items()]:
             self.strings[k] = s
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.words = regex.compile(j["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", " "))
-        self.spaces = re.compile(f"[{SPACE}]+")
+        pattern = j["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", SPACE)
+        self.words = regex.compile(pattern)
+        # the same in the standard library's syntax, letters first, for texts of characters that its classes hold alike
+        known = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + SPACE + r"\p{L}\p{N}]+"
+        self.plain_words = re.compile(r"[^\W\d_]+|'(?:[stmd]|re|ve|ll)|\d|(?:[^\w\s]|_)+") if pattern == known else None
+        self.plain: dict[str, bool] = {}
         size, back = len(self.strings), {c: b for b, c in enumerate(byte_chars())}
         self.rank, self.left, self.right = np.full(size, -1, np.int64), np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         self.merge: dict[tuple[int, int], tuple[int, int]] = {}
@@ -63,9 +103,10 @@ class WordBpe:
             self.merge.setdefault((x, y), (r, z))
             if self.rank[z] < 0:
                 self.rank[z], self.left[z], self.right[z] = r, x, y
-        codes = np.array([x * size + y for x, y in self.merge], np.int64)
-        order = np.argsort(codes)
-        self.codes, self.code_ranks = codes[order], np.array([r for r, _ in self.merge.values()], np.int64)[order]
+        self.pair_rank = Lookup([x * size + y for x, y in self.merge], [r for r, _ in self.merge.values()])
+        self.made = np.zeros(len(merges), np.int64)
+        for r, z in self.merge.values():
+            self.made[r] = z
         self.size = size
         raw = lambda s: bytes(back[c] for c in s)
         self.inner = {raw(s): k for s, k in vocab.items() if not s.endswith(self.end)}
@@ -74,7 +115,9 @@ class WordBpe:
         for table, at_end in ((self.inner, False), (self.final, True)):
             for s in [s for s, k in table.items() if len(s) > 1 and self._merged(s, at_end) != [k]]:
                 del table[s]
-        self.longest = max(map(len, [*self.inner, *self.final]))
+        self.single_inner = np.array([self.inner[bytes([b])] for b in range(256)], np.int64)
+        self.single_final = np.array([self.final[bytes([b])] for b in range(256)], np.int64)
+        self._trie()
         self.cache: dict[str, bytes] = {}
         self.known = np.empty(0, np.int64)
         self.valid = np.empty(0, bool)
@@ -105,19 +148,69 @@ class WordBpe:
                 heapq.heappush(heap, (m[0], before[i], ids[before[i]], ids[i]))
         return [k for k in ids if k >= 0]
 
-    def _greedy(self, word: bytes) -> list[int]:
-        n, at, out = len(word), 0, []
-        inner, final, longest = self.inner, self.final, self.longest
-        while at < n:
-            if n - at <= longest and (k := final.get(word[at:])) is not None:
-                out.append(k)
-                break
-            for to in range(min(n - 1, at + longest), at, -1):
-                if (k := inner.get(word[at:to])) is not None:
-                    out.append(k)
-                    at = to
-                    break
-        return out
+    def _trie(self) -> None:
+        nodes = {b"": 0}
+        for t in (self.inner, self.final):
+            for token in t:
+                for k in range(1, len(token) + 1):
+                    nodes.setdefault(token[:k], len(nodes))
+        self.steps = Lookup([nodes[s[:-1]] * 256 + s[-1] for s in nodes if s], [k for s, k in nodes.items() if s])
+        self.inner_at, self.final_at = np.full(len(nodes), -1, np.int64), np.full(len(nodes), -1, np.int64)
+        for t, at in ((self.inner, self.inner_at), (self.final, self.final_at)):
+            for token, k in t.items():
+                at[nodes[token]] = k
+
+    def _greedy(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Owners and ids of the tokens proposed for the words data[start:end], by longest match; all words advance together."""
+        owners, tokens = [], []
+        word, at, pos, node = np.arange(len(starts)), starts.copy(), starts.copy(), np.zeros(len(starts), np.int64)
+        best, best_to = np.full(len(starts), -1, np.int64), starts.copy()
+        while len(word):
+            more = pos < ends[word]
+            nxt = np.full(len(word), -1, np.int64)
+            nxt[more] = self.steps.get(node[more] * 256 + data[pos[more]], -1)
+            go = nxt >= 0
+            g = np.flatnonzero(go)
+            node[g] = nxt[g]
+            pos[g] += 1
+            found = np.where(pos[g] == ends[word[g]], self.final_at[node[g]], self.inner_at[node[g]])
+            hit = found >= 0
+            best[g[hit]], best_to[g[hit]] = found[hit], pos[g[hit]]
+            d = np.flatnonzero(~go)
+            owners.append(word[d])
+            tokens.append(best[d])
+            at[d] = pos[d] = best_to[d]
+            node[d] = 0
+            best[d] = -1
+            left = np.ones(len(word), bool)
+            left[d] = at[d] < ends[word[d]]
+            if not left.all():
+                word, at, pos, node, best, best_to = (v[left] for v in (word, at, pos, node, best, best_to))
+        owner, token = np.concatenate(owners), np.concatenate(tokens)
+        order = np.argsort(owner, kind="stable")
+        return owner[order], token[order]
+
+    def _merged_all(self, ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merging of many words: in each round, each word's pair of least rank, of equal ranks the leftmost."""
+        done_ids, done_owner = [], []
+        while len(ids):
+            rank = np.full(len(ids), NEVER)
+            inside = np.flatnonzero(owner[1:] == owner[:-1])
+            rank[inside] = self.pair_rank.get(ids[inside] * self.size + ids[inside + 1], NEVER)
+            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            low = np.minimum.reduceat(rank, starts)
+            length = np.diff(np.r_[starts, len(ids)])
+            open_ = np.repeat(low < NEVER, length)
+            done_ids.append(ids[~open_])
+            done_owner.append(owner[~open_])
+            is_low = np.flatnonzero(open_ & (rank == np.repeat(low, length)))
+            first = is_low[np.r_[True, owner[is_low[1:]] != owner[is_low[:-1]]]] if len(is_low) else is_low
+            ids[first] = self.made[rank[first]]
+            open_[first + 1] = False
+            ids, owner = ids[open_], owner[open_]
+        ids, owner = np.concatenate(done_ids), np.concatenate(done_owner)
+        order = np.argsort(owner, kind="stable")
+        return ids[order], owner[order]
 
     def _compatible(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Whether each pair of tokens is the encoding of its own bytes.
@@ -131,9 +224,7 @@ class WordBpe:
         used_x = np.full(len(one), NEVER)
         used_y = used_x.copy()
         while len(at):
-            code = x * self.size + y
-            pos = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            m = np.where(self.codes[pos] == code, self.code_ranks[pos], NEVER)
+            m = self.pair_rank.get(x * self.size + y, NEVER)
             cross = (m < used_x) & (m <= used_y) & (m < NEVER)
             ok[at[cross]] = False
             rx, ry = self.rank[x], self.rank[y]
@@ -158,38 +249,60 @@ class WordBpe:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
+        if not words:
+            return []
         raw = [w.encode() for w in words]
-        found = [self._greedy(w) for w in raw]
-        flat = np.fromiter((k for f in found for k in f), np.int64)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        owner = np.repeat(np.arange(len(found)), lengths)
+        data, ends = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64), np.cumsum([len(w) for w in raw])
+        starts = np.r_[0, ends[:-1]]
+        owner, ids = self._greedy(data, starts, ends)
         inside = np.flatnonzero(owner[1:] == owner[:-1])
-        if len(inside):
-            bad = np.unique(owner[inside[~self._pairs_ok(flat[inside] * self.size + flat[inside + 1])]])
-            for k in bad.tolist():
-                found[k] = self._merged(raw[k])
-        return [np.array(f, "<u4").tobytes() for f in found]
-
-    def _words(self, text: str) -> Iterator[str | int]:
+        bad = np.zeros(len(raw), bool)
+        bad[owner[inside[~self._pairs_ok(ids[inside] * self.size + ids[inside + 1])]]] = True
+        keep = ~bad[owner]
+        parts = [(ids[keep], owner[keep])]
+        short = bad & (ends - starts <= SIDE_BY_SIDE)
+        if short.any():
+            of = np.repeat(np.arange(len(raw)), ends - starts)
+            single = self.single_inner[data]
+            single[ends - 1] = self.single_final[data[ends - 1]]
+            parts.append(self._merged_all(single[short[of]], of[short[of]]))
+        for k in np.flatnonzero(bad & ~short).tolist():
+            exact = self._merged(raw[k])
+            parts.append((np.array(exact, np.int64), np.full(len(exact), k)))
+        ids, owner = (np.concatenate(x) for x in zip(*parts, strict=True))
+        out, cuts = ids[np.argsort(owner, kind="stable")].astype("<u4").tobytes(), np.r_[0, np.cumsum(np.bincount(owner, minlength=len(raw)))] * 4
+        return [out[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+
+    def _words(self, text: str) -> list[str | int]:
+        out: list[str | int] = []
         for k, part in enumerate(self.split_special.split(text) if self.split_special else [text]):
             if k % 2:
-                yield self.special[part]
+                out.append(self.special[part])
             elif part:
                 if not part.isascii():
                     part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                yield from self.words.findall(self.spaces.sub(" ", part).lower())
+                part = part.lower()
+                out += (self.plain_words if self.plain_words and all(map(self._is_plain, set(part))) else self.words).findall(part)
+        return out
+
+    def _is_plain(self, c: str) -> bool:
+        if c not in self.plain:
+            kind = unicodedata.category(c)[0]
+            self.plain[c] = (kind == "L") == bool(re.match(r"[^\W\d_]", c)) and (kind == "N") == bool(re.match(r"\d", c)) and bool(re.match(f"[{SPACE}]", c)) == bool(re.match(r"\s", c))
+        return self.plain[c]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        split, cache = [list(self._words(t)) for t in texts], self.cache
-        new = {w for ws in split for w in ws if w not in cache}
+        split, cache = [self._words(t) for t in texts], self.cache
+        used = set(chain.from_iterable(split))
+        new = used.difference(cache)
         if len(cache) + len(new) > CACHE_WORDS:
             cache.clear()
-            new = {w for ws in split for w in ws}
+            new = used
         fresh = [w for w in new if isinstance(w, str)]
         now: dict = {w: w.to_bytes(4, "little") for w in new if isinstance(w, int)}
         now |= zip(fresh, self.encode_words(fresh), strict=True)
         cache.update(now)
-        out = [b"".join([cache[w] for w in ws]) for ws in split]
+        out = [b"".join(map(cache.__getitem__, ws)) for ws in split]
         for w in now:
             if isinstance(w, str) and len(w) > CACHE_CHARS:
                 del cache[w]
