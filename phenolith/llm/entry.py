@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, warc
+from . import ann, bpe, mixing, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op7_warc_bundles, op8_bpe)}
+def op9_ivf_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op7_warc_bundles, op8_bpe, op9_ivf_pq, op10_mixing)}
 
 ORACLES: dict[str, str] = {}
