@@ -358,6 +358,21 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "id long, ids binary")
 
 
+def token_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """(id, n_tokens, token_ids array<int>): one row per row of docs, as encode()."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in part.column(1).to_pylist()]
+                cuts = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(cuts), pa.int64()), lists], ["id", "n_tokens", "token_ids"])
+
+    return encode(docs, id_col, text_col, vocabulary).mapInArrow(run, "id long, n_tokens long, token_ids array<int>")
+
+
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(id, ids) -> (id, ids, text)."""
     sent = _Sent(encoded.sparkSession, vocabulary or default_path())

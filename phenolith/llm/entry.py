@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, mixing, simhash, warc
+from . import ann, bpe, mixing, pii, quality, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def site_columns() -> tuple[Column, Column]:
+    """Host and path of a document: its source, and the part of the source in its language."""
+    return F.col("source"), F.col("lang")
+
+
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = quality.score(docs, _table(spark, sf_dir, "labels"), *site_columns())
+    return found.select("doc_id", *(F.round(f"quality_{x}", 6).alias(x) for x in ("evidence", "shift", "score")), (F.col("quality_score") >= 0).alias("keep"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_pseudonyms")
+
+
 def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -36,6 +51,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op7_warc_bundles, op8_bpe, op9_ivf_pq, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_quality, op6_pii, op7_warc_bundles, op8_bpe, op9_ivf_pq, op10_mixing)}
 
 ORACLES: dict[str, str] = {}

@@ -90,7 +90,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (5, 2, 1), budget: fl
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), budget: float = 1.5, cap: float = 2.0, seed: int = 17) -> DataFrame:
-    """(id, source, size, source_size, target, taken): one row per row of docs.
+    """(id, source, size, source_size, target, copies, taken): one row per row of docs.
 
     size counts the words [^\\x20\\x09-\\x0D]+ (null text: 0); taken is size times the copies taken, 0 to
     cap of them. Null sources are one source, the last. Repeated rows are documents of their own.
@@ -114,5 +114,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     before = F.sum("n").over(Window.partitionBy(*key).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     dealt = per_bucket.join(plans, key).withColumn("take", F.greatest(F.lit(0), F.least("n", F.col("extra") - before))).drop("n", "extra")
     place = F.row_number().over(Window.partitionBy(*key, "b").orderBy("h", "id"))
-    taken = F.col("size") * (F.col("copies") + (F.col("place") <= F.col("take")).cast("long"))
-    return sized.join(dealt, [*key, "b"]).withColumn("place", place).select("id", F.when(~F.col("no_src"), F.col("src")).alias("source"), "size", "source_size", "target", taken.alias("taken"))
+    copies = F.col("copies") + (F.col("place") <= F.col("take")).cast("long")
+    found = sized.join(dealt, [*key, "b"]).withColumn("place", place).withColumn("copies", copies)
+    return found.select("id", F.when(~F.col("no_src"), F.col("src")).alias("source"), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", **options: object) -> DataFrame:
+    """The rows of docs, all columns unchanged, each as often as mix() takes it. Rows that share an id (null too) are taken as often as the least taken of them."""
+    chosen = mix(docs, id_col, **options).groupBy("id").agg(F.min("copies").alias("_copies")).where("_copies > 0").withColumnRenamed("id", "_id")
+    copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return docs.join(chosen, docs[id_col].eqNullSafe(F.col("_id"))).select(*(docs[c] for c in docs.columns), copies.alias("_copy")).drop("_copy")
