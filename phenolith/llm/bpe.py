@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 #: Characters with the Unicode property White_Space.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Words that the cache holds before it starts anew, characters of a word that may enter it, and of texts handled at once.
-CACHE_WORDS, CACHE_CHARS, PIECE = 600_000, 40, 1 << 20
+CACHE_WORDS, CACHE_CHARS, PIECE = 300_000, 40, 1 << 19
 #: Symbols up to which words are merged side by side in numpy; longer ones are merged one by one, with a heap.
 SIDE_BY_SIDE = 64
 NEVER = np.int64(1) << 62
