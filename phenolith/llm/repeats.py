@@ -15,21 +15,26 @@ is taken apart, once, into its strings (the suffixes of the dictionary), and the
 
 from __future__ import annotations
 
-import hashlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import written
+from .common import shuffle_parts, written
 
 LENGTH, GRAM = 200, 8
 #: Starts among which a trigger is chosen, and starts of a text that are handled at once.
 WINDOW, SEGMENT = 160, 1 << 18
 PLACE_BITS = np.uint64(20)
+#: Bits of a stem's digest, and distinct phrases up to which a stem is handled in one task.
+STEM_MASK, FEW = (1 << 48) - 1, 2_000
 
 
 def triggers(text: bytes, length: int = LENGTH, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,7 +83,7 @@ def _phrases(rows: DataFrame, length: int, window: int, only_stems: bool) -> Dat
             for key, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()), strict=True):
                 text = text.as_py() or b""
                 trigger, first, last = triggers(text, length, window)
-                stems += [xxh3_64_intdigest(text[a : a + stem]) for a in trigger.tolist()]
+                stems += [xxh3_64_intdigest(text[a : a + stem]) & STEM_MASK for a in trigger.tolist()]
                 if not only_stems:
                     wholes += [xxh3_64_intdigest(text[a : z + length], z - a) for a, z in zip(first.tolist(), last.tolist(), strict=True)]
                     ats.append(first << 20 | last - first)
@@ -96,26 +101,76 @@ def _phrases(rows: DataFrame, length: int, window: int, only_stems: bool) -> Dat
     return rows.select("key", "t").mapInArrow(run, "stem long" if only_stems else "stem long, phrase long, key long, at long")
 
 
-def _strings(rows: DataFrame, taken: DataFrame, length: int) -> DataFrame:
-    """(string, key, start, alone): the strings of the phrases in taken (key, parts of at and alone)."""
+def _packed(rows: DataFrame) -> DataFrame:
+    """(key, id, z): texts as Zstandard frames, which halves what a shuffle writes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                z = [press.compress(t or b"") for t in part.column(2).cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(z, pa.binary())], ["key", "id", "z"])
+
+    return rows.mapInArrow(run, "key long, id long, z binary")
+
+
+def _cut_out(rows: DataFrame, taken: DataFrame, length: int) -> DataFrame:
+    """taken (stem, key, at, alone, many) with the bytes that each phrase covers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
         for b in batches:
             for k in range(b.num_rows):
-                key, text, parts = (c[k].as_py() for c in b.columns)
-                text = text.encode()
-                hashes, starts, alone = [], [], []
-                for p in parts:
-                    span = range(p["at"] >> 20, (p["at"] >> 20) + (p["at"] & (1 << 20) - 1) + 1)
-                    hashes += [xxh3_64_intdigest(text[i : i + length]) for i in span]
-                    starts += span
-                    alone += [p["alone"]] * len(span)
-                for at in range(0, len(starts), 1 << 18):
-                    cut = slice(at, at + (1 << 18))
-                    yield pa.RecordBatch.from_arrays([_signed(hashes[cut]), pa.array([key] * len(starts[cut]), pa.int64()), pa.array(starts[cut], pa.int64()), pa.array(alone[cut])], ["string", "key", "start", "alone"])
-
-    by_key = taken.groupBy("key").agg(F.collect_list(F.struct("at", "alone")).alias("parts"))
-    return rows.join(by_key, "key").select("key", "t", "parts").mapInArrow(run, "string long, key long, start long, alone boolean")
+                text = press.decompress(b.column(1)[k].as_py())
+                parts = b.column(2)[k].values
+                at = parts.field("at").to_pylist()
+                cut = [text[x >> 20 : (x >> 20) + (x & (1 << 20) - 1) + length] for x in at]
+                key = pa.array([b.column(0)[k].as_py()] * len(at), pa.int64())
+                yield pa.RecordBatch.from_arrays([parts.field("stem"), key, parts.field("at"), parts.field("alone"), parts.field("many"), pa.array(cut, pa.binary())], ["stem", "key", "at", "alone", "many", "phrase"])
+
+    by_key = taken.groupBy("key").agg(F.collect_list(F.struct("stem", "at", "alone", "many")).alias("parts"))
+    return _packed(rows).join(by_key, "key").select("key", "z", "parts").mapInArrow(run, "stem long, key long, at long, alone boolean, many boolean, phrase binary")
+
+
+def _few(phrases: DataFrame, length: int) -> DataFrame:
+    """(key, at) of the strings of phrases that are alone and occur in another phrase of their stem, at most FEW in a stem."""
+
+    def found(stem: list) -> Iterator[tuple[int, int]]:
+        hashes = [[xxh3_64_intdigest(p[i : i + length]) for i in range(len(p) - length + 1)] for _, _, _, p in stem]
+        times = Counter(h for own in hashes for h in own)
+        for (key, at, alone, _), own in zip(stem, hashes, strict=True):
+            if alone:
+                yield from ((key, ((at >> 20) + i) << 20) for i, h in enumerate(own) if times[h] > 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for b in batches:
+                yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+
+        out: list[tuple[int, int]] = []
+        for _, stem in groupby(rows(), key=itemgetter(0)):
+            out += found([x[1:] for x in stem])
+            if len(out) > 100_000:
+                yield batch(out)
+                out = []
+        if out:
+            yield batch(out)
+
+    def batch(out: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["key", "at"])
+
+    dealt = phrases.where("not many").repartition(shuffle_parts(phrases.sparkSession), "stem").sortWithinPartitions("stem")
+    return dealt.select("stem", "key", "at", "alone", "phrase").mapInArrow(run, "key long, at long")
+
+
+def _many(phrases: DataFrame, length: int) -> DataFrame:
+    """The same for stems of any number of phrases, by a count of all strings."""
+    more = F.col("at").bitwiseAND((1 << 20) - 1)
+    each = phrases.where("many").select("key", "at", "alone", "phrase", F.explode(F.sequence(F.lit(0), more.cast("int"))).alias("i"))
+    strings = each.select(F.xxhash64(F.expr(f"substring(phrase, i + 1, {length})")).alias("string"), "key", (F.col("at") - more + F.shiftleft(F.col("i").cast("long"), 20)).alias("at"), "alone")
+    twice = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
+    return strings.where("alone").join(twice, "string", "left_semi").select("key", "at")
 
 
 def repeated_starts(rows: DataFrame, length: int = LENGTH, window: int = WINDOW) -> DataFrame:
@@ -128,12 +183,10 @@ def repeated_starts(rows: DataFrame, length: int = LENGTH, window: int = WINDOW)
     found = written(_phrases(rows, length, window, False).join(again, "stem", "left_semi"), "repeats-phrases")
     dictionary = written(found.groupBy("stem", "phrase").agg(F.count("*").alias("n"), F.min(F.struct("key", "at")).alias("one")), "repeats-dictionary")
     whole = found.join(dictionary.where("n > 1").select("stem", "phrase"), ["stem", "phrase"], "left_semi").select("key", "at")
-    several = dictionary.groupBy("stem").agg(F.count("*").alias("m")).where("m > 1").select("stem")
-    taken = dictionary.join(several, "stem", "left_semi").select("one.*", (F.col("n") == 1).alias("alone"))
-    strings = written(_strings(rows, taken, length), "repeats-strings")
-    twice = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
-    single = strings.where("alone").join(twice, "string", "left_semi").select("key", F.shiftleft("start", 20).alias("at"))
-    return whole.unionAll(single)
+    several = dictionary.groupBy("stem").agg(F.count("*").alias("m"), F.count_if(F.col("n") == 1).alias("alone")).where("m > 1 and alone > 0").select("stem", (F.col("m") > FEW).alias("many"))
+    taken = dictionary.join(several, "stem").select("stem", "one.*", (F.col("n") == 1).alias("alone"), "many")
+    phrases = written(_cut_out(rows, taken, length), "repeats-cut-out", compression="zstd")
+    return whole.unionAll(_few(phrases, length)).unionAll(_many(phrases, length))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, window: int = WINDOW) -> DataFrame:
@@ -147,10 +200,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ranges = repeated_starts(rows, length, window).groupBy("key").agg(F.collect_list("at").alias("ats"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                done = [cut(t or b"", a) for t, a in zip(part.column(1).cast(pa.binary()).to_pylist(), part.column(2), strict=True)]
+                done = [cut(press.decompress(z), a) for z, a in zip(part.column(1).to_pylist(), part.column(2), strict=True)]
                 numbers = [pa.array(x, pa.int64()) for x in list(zip(*done, strict=True))[:3]]
                 yield pa.RecordBatch.from_arrays([part.column(0), *numbers, pa.array([d[3] for d in done], pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
@@ -164,4 +218,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         gone = np.cumsum(depth)[:-1] > 0
         return len(text), int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), np.frombuffer(text, np.uint8)[~gone].tobytes()
 
-    return rows.join(ranges, "key", "left").select("id", "t", "ats").mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return _packed(rows).join(ranges, "key", "left").select("id", "z", "ats").mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
