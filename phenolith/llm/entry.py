@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, mixing, pii, quality, repeats, simhash, warc
+from . import ann, bpe, chroma, langid, mixing, pii, quality, repeats, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,15 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chroma.excerpts_found(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "page_id").withColumn("confidence", F.round("confidence", 6))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_pseudonyms")
 
@@ -56,6 +65,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_quality, op3_repeats, op6_pii, op7_warc_bundles, op8_bpe, op9_ivf_pq, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_quality, op3_repeats, op4_chroma, op5_language_id, op6_pii, op7_warc_bundles, op8_bpe, op9_ivf_pq, op10_mixing)}
 
 ORACLES: dict[str, str] = {}
