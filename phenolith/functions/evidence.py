@@ -2,28 +2,25 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..lexicons import CLAUSE_ENDS, CONFIRMATIONS, MOLECULAR, NEGATIONS, QUALIFIERS, STRONG_VERBS, WEAK_CONTEXTS, Phenotype
-from .text import any_of, found, nearest, offsets, stripped, term_offsets, word_capitals
+from .text import any_of, found, nearest, offsets, stripped, term_offsets, word_capitals, word_offsets
 
+CONFIRMED = rf"\b(?:{'|'.join(CONFIRMATIONS)})"
 NOT_STATED = "Not Explicitly Stated"
 NOUN = "assay|method|technique|protocol|procedure|bioassay"
 NAME = rf"([A-Za-z][A-Za-z0-9\-]*(?:\s+[A-Za-z0-9\-]+){{0,4}}\s+(?:{NOUN}))"
 GENERIC = [rf"(?:using|via|by|through)\s+(?:the\s+|an?\s+)?{NAME}\b", rf"\b{NAME}\s+(?:was|were)\s+(?:used|performed|conducted|employed|applied)\b"]
 
 
-def methods(sentence: Column, p: Phenotype) -> Column:
-    """Labels of the assays named in a sentence, nearest to the phenotype's terms first; molecular ones are left out."""
-    low = F.lower(sentence)
-    terms, rows, place = term_offsets(low, p.terms), [], {}
+def methods(low: Column, terms: Column, p: Phenotype) -> Column:
+    """Labels of the assays named in a lower-case sentence, nearest to the phenotype's terms (a column of their offsets) first; molecular ones are left out."""
+    rows, place = [], {}
     for key, label in p.methods.items():
         if not any(x in label.lower() for x in MOLECULAR):
-            at = offsets(low, re.escape(key))
-            dist = F.array_min(F.transform(at, lambda x: nearest(terms, x, 0)))
+            dist = F.when(F.contains(low, F.lit(key)), F.array_min(F.transform(word_offsets(low, key), lambda x: nearest(terms, x, 0))))
             rows.append(F.struct(dist.alias("d"), F.lit(place.setdefault(label, len(place))).alias("k"), F.lit(label).alias("label")))
     return F.array_distinct(F.transform(F.array_sort(F.filter(F.array(*rows), lambda r: r["d"].isNotNull())), lambda r: r["label"]))
 
@@ -34,12 +31,30 @@ def generic_method(sentence: Column) -> Column:
     return F.coalesce(*(F.when((x != "") & ~F.lower(x).rlike(any_of(MOLECULAR)), word_capitals(x)) for x in labels))
 
 
-def method(sentence: Column, p: Phenotype) -> Column:
-    """struct<label, n>: listed assays, else a generic one marked as reported, else not stated with 0."""
-    listed, other = methods(sentence, p), generic_method(sentence)
-    label = F.when(F.size(listed) > 0, F.array_join(listed, ", ")).when(other.isNotNull(), F.concat(other, F.lit(" (Reported)"))).otherwise(NOT_STATED)
-    n = F.when(F.size(listed) > 0, F.size(listed)).when(other.isNotNull(), 1).otherwise(0)
-    return F.struct(label.alias("label"), n.alias("n"))
+def with_evidence(df: DataFrame, p: Phenotype, sentence: str = "sent") -> DataFrame:
+    """df with low, terms, label, n_methods, base, is_weak, negated and confirmed of a sentence.
+
+    The assays are listed ones, else a generic one marked as reported, else none (n_methods 0). Each
+    step is a projection of its own, so that Catalyst does not repeat what several columns use.
+    """
+    low, terms = F.col("low"), F.col("terms")
+    s = df.withColumn("low", F.lower(sentence)).withColumn("terms", term_offsets(low, p.terms))
+    s = s.withColumn("_listed", methods(low, terms, p))
+    s = s.withColumn("_other", F.when((F.size("_listed") == 0) & low.rlike(NOUN), generic_method(F.col(sentence))))
+    listed = F.size("_listed") > 0
+    label = F.when(listed, F.array_join("_listed", ", ")).when(F.col("_other").isNotNull(), F.concat("_other", F.lit(" (Reported)"))).otherwise(NOT_STATED)
+    s = s.withColumns({"label": label, "n_methods": F.when(listed, F.size("_listed")).when(F.col("_other").isNotNull(), 1).otherwise(0)}).drop("_listed", "_other")
+    return s.withColumns({"base": points(low, terms, F.col("n_methods")), "is_weak": weak(low), "negated": negated(low, terms), "confirmed": found(low, CONFIRMED)})
+
+
+def strength() -> Column:
+    """The score from the columns of with_evidence(), interference apart. Order of effects: weak context, then negation resets."""
+    return F.when(F.col("negated"), 0).otherwise(F.col("base") - F.when(F.col("is_weak"), 11).otherwise(0))
+
+
+def against() -> Column:
+    """The score of a negative report, from the same columns."""
+    return 5 + F.when(F.col("confirmed"), 2).otherwise(0) + F.when(F.col("n_methods") > 0, 2).otherwise(0)
 
 
 def negated(low: Column, terms: Column) -> Column:
@@ -52,11 +67,11 @@ def negated(low: Column, terms: Column) -> Column:
 
 def points(low: Column, terms: Column, n_methods: Column) -> Column:
     """What a sentence is worth before it is weakened, negated or interfered with."""
-    verbs = sum(found(low, rf"\b{v}").cast("int") for v in STRONG_VERBS)
+    verbs = F.when(found(low, rf"\b(?:{'|'.join(STRONG_VERBS)})"), sum(found(low, rf"\b{v}").cast("int") for v in STRONG_VERBS)).otherwise(0)
     plus = lambda c, n: F.when(c, n).otherwise(0)
     return (
         plus(F.size(terms) > 0, 2) + plus(verbs >= 1, 3) + plus(verbs >= 2, 1)
-        + plus(found(low, rf"\b(?:{'|'.join(CONFIRMATIONS)})"), 2)
+        + plus(found(low, CONFIRMED), 2)
         + plus(found(low, rf"\b(?:{'|'.join(QUALIFIERS)})"), 1)
         + plus(n_methods > 0, 2 + F.least(n_methods - 1, F.lit(2)))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..lexicons import APPROXIMATE, UNIT_CONTEXT, UNITS, Phenotype
-from .text import general_format, matches, nearest, significant, stripped, term_offsets
+from .text import general_format, matches, nearest, significant, stripped
 
 NUMBER = r"(\d+(?:\.\d+)?)"
 FAR = 9999
@@ -80,18 +80,23 @@ def parsed(raw: Column, cleaned: Column) -> Column:
     )
 
 
-def candidates(sentence: Column, p: Phenotype) -> Column:
-    """array<struct<dist, val>> by distance to the phenotype's terms (stable): the values at least as close to them as to any rival's."""
-    low = F.lower(F.regexp_replace(sentence, r"(?U)(\d),(\d)", "$1$2"))
-    terms, rivals = term_offsets(low, p.terms), term_offsets(low, p.rivals)
+def plain_low(sentence: Column) -> Column:
+    """Lower case, without thousands commas: what candidates() searches."""
+    return F.lower(F.regexp_replace(sentence, r"(?U)(\d),(\d)", "$1$2"))
+
+
+def candidates(low: Column, terms: Column, rivals: Column, p: Phenotype) -> Column:
+    """array<struct<dist, val>> by distance to the phenotype's terms (stable): the values at least as close to them as to any rival's.
+
+    low is a column of plain_low(), terms and rivals are columns of the offsets in it: expressions would be worked out again for every match.
+    """
 
     def of(k: int, pattern: str) -> Column:
         # what the match begins with decides between all of it and its number
-        numbers = F.regexp_extract_all(low, F.lit(f"(?iU){pattern}"), F.lit(1))
         whole = lambda m: m.rlike(r"(?U)^\d") | m.rlike(r"(?iU)^(?:si|psi|index)\b")
         rows = F.transform(
             matches(low, pattern, "(?iU)"),
-            lambda m, i: F.struct(nearest(terms, m["pos"], FAR).alias("dist"), F.lit(k).alias("pattern"), i.alias("i"), nearest(rivals, m["pos"], FAR).alias("rival"), F.when(whole(m["m"]), m["m"]).otherwise(numbers[i]).alias("val")),
+            lambda m, i: F.struct(nearest(terms, m["pos"], FAR).alias("dist"), F.lit(k).alias("pattern"), i.alias("i"), nearest(rivals, m["pos"], FAR).alias("rival"), F.when(whole(m["m"]), m["m"]).otherwise(F.regexp_extract(m["m"], f"(?iU){pattern}", 1)).alias("val")),
         )
         return F.filter(rows, lambda x: (x["dist"] <= x["rival"]) & ~x["val"].rlike(r"(?U)^\s*(?:19|20)\d\d\s*$"))
 

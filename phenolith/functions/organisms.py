@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..lexicons import GENERA, GENERIC_STRAINS, INVALID_SPECIES, PLANT_GENERA, STOP_WORDS
@@ -23,17 +23,17 @@ def canonical(name: Column, unlisted: bool = False) -> Column:
     return F.when((F.size(words) >= 2) & fine & known, F.concat(genus, F.lit(" "), species))
 
 
-def candidates(text: Column, unlisted: bool = False) -> Column:
-    """Sorted distinct names: full ones, and abbreviated ones whose initial has exactly one full genus before them."""
-    full, short = matches(text, FULL), matches(text, SHORT)
-    genera = F.transform(full, lambda x: F.struct(x["pos"].alias("pos"), F.regexp_extract(x["m"], FULL, 1).alias("genus")))
-    named = F.transform(full, lambda x: canonical(x["m"], unlisted))
+def with_candidates(df: DataFrame, text: str, name: str, unlisted: bool = False) -> DataFrame:
+    """df with the sorted distinct names in a text: full ones, and abbreviated ones whose initial has exactly one full genus before them."""
+    full = F.col("_full")
+    s = df.withColumns({"_full": F.transform(matches(F.col(text), FULL), lambda x: F.struct(x["pos"].alias("pos"), F.regexp_extract(x["m"], FULL, 1).alias("genus"), canonical(x["m"], unlisted).alias("name"))), "_short": matches(F.col(text), SHORT)})
 
     def resolved(x: Column) -> Column:
-        before = F.array_distinct(F.transform(F.filter(genera, lambda g: (g["pos"] < x["pos"]) & (F.substring(g["genus"], 1, 1) == F.substring(x["m"], 1, 1))), lambda g: g["genus"]))
+        before = F.array_distinct(F.transform(F.filter(full, lambda g: (g["pos"] < x["pos"]) & (F.substring(g["genus"], 1, 1) == F.substring(x["m"], 1, 1))), lambda g: g["genus"]))
         return F.when(F.size(before) == 1, canonical(F.concat(F.try_element_at(before, F.lit(1)), F.lit(" "), F.regexp_extract(x["m"], SHORT, 2)), unlisted))
 
-    return F.array_sort(F.array_distinct(F.filter(F.concat(named, F.transform(short, resolved)), lambda x: x.isNotNull())))
+    every = F.concat(F.transform(full, lambda x: x["name"]), F.transform("_short", resolved))
+    return s.withColumn(name, F.array_sort(F.array_distinct(F.filter(every, lambda x: x.isNotNull())))).drop("_full", "_short")
 
 
 def _parts(organism: Column) -> tuple[Column, Column]:

@@ -35,20 +35,29 @@ def normalised(text: Column) -> Column:
 def matches(text: Column, pattern: Column | str, flags: str = "(?U)") -> Column:
     """array<struct<pos, m>> of all matches in order: gap and match lengths are added up."""
     p = F.lit(flags + pattern) if isinstance(pattern, str) else F.concat(F.lit(flags), pattern)
-    gaps, hits = F.split(text, p, -1), F.regexp_extract_all(text, p, F.lit(0))
-    pair = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<pos:int,m:string>>").alias("out"))
-    step = lambda acc, x: F.struct((acc["at"] + F.length(x["g"]) + F.length(x["m"])).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["g"])).alias("pos"), x["m"].alias("m")))).alias("out"))
-    return F.when(F.size(hits) > 0, F.aggregate(pair, start, step)["out"]).otherwise(F.array().cast("array<struct<pos:int,m:string>>"))
+    pair = F.zip_with(F.split(text, p, -1), F.regexp_extract_all(text, p, F.lit(0)), lambda g, m: F.struct(g.alias("g"), m.alias("m")))
+    none = F.array().cast("array<struct<pos:int,m:string>>")
+
+    def step(acc: Column, x: Column) -> Column:
+        hit = F.struct((acc["at"] + F.length(x["g"])).alias("pos"), x["m"].alias("m"))
+        return F.when(x["m"].isNull(), acc).otherwise(F.struct((acc["at"] + F.length(x["g"]) + F.length(x["m"])).alias("at"), F.concat(acc["out"], F.array(hit)).alias("out")))
+
+    # most texts have no match: those cost one search
+    return F.when(F.regexp_like(text, p), F.aggregate(pair, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]).otherwise(none)
 
 
 def offsets(text: Column, pattern: Column | str, flags: str = "(?U)") -> Column:
     return F.transform(matches(text, pattern, flags), lambda x: x["pos"])
 
 
+def word_offsets(text: Column, word: str) -> Column:
+    """Offsets of a literal word, looked for as a plain substring first."""
+    return F.when(F.contains(text, F.lit(word)), offsets(text, re.escape(word))).otherwise(F.array().cast("array<int>"))
+
+
 def term_offsets(text: Column, terms: list[str]) -> Column:
     """Offsets of each term in turn, as literal text."""
-    return F.flatten(F.array(*(offsets(text, re.escape(t)) for t in terms))) if terms else F.array().cast("array<int>")
+    return F.flatten(F.array(*(word_offsets(text, t) for t in terms))) if terms else F.array().cast("array<int>")
 
 
 def nearest(positions: Column, at: Column, default: int) -> Column:

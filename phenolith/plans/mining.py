@@ -56,7 +56,7 @@ def prepared(articles: DataFrame, o: Options) -> DataFrame:
     body = F.concat(F.coalesce("text", F.lit("")), F.when(F.coalesce(full, F.lit("")) != "", F.concat(F.lit(" "), full)).otherwise(""))
     rows = articles.withColumn("raw", body)
     rows = rows.withColumn("body", text.normalised(text.expanded(F.col("raw"), text.abbreviations(F.col("raw"))))).drop("raw")
-    return rows.withColumns({"sents": text.sentences(F.col("body")), "names": organisms.candidates(F.col("body"), o.discover_genera)})
+    return organisms.with_candidates(rows.withColumn("sents", text.sentences(F.col("body"))), "body", "names", o.discover_genera)
 
 
 def scored_sentences(rows: DataFrame, o: Options) -> DataFrame:
@@ -65,17 +65,17 @@ def scored_sentences(rows: DataFrame, o: Options) -> DataFrame:
     hosts = F.contains(F.lower("body"), F.lit("isolated"))
     names = F.filter("names", lambda n: hosts | ~n.isin(CLONING_HOSTS))
     s = rows.select("pmid", "names", names.alias("mine"), F.posexplode("sents").alias("ix", "sent")).where(F.size("mine") > 0)
-    s = s.withColumn("low", F.lower("sent")).withColumns({"terms": text.term_offsets(low, p.terms), "method": ev.method(F.col("sent"), p)})
-    s = s.withColumns({"base": ev.points(low, F.col("terms"), F.col("method.n")), "is_weak": ev.weak(low), "negated": ev.negated(low, F.col("terms")), "confirmed": text.found(low, r"\b(?:" + "|".join(ev.CONFIRMATIONS) + ")"), "found": metrics.candidates(F.col("sent"), p)})
+    s = ev.with_evidence(s, p).withColumn("plain", metrics.plain_low(F.col("sent")))
+    s = s.withColumns({"near": text.term_offsets(F.col("plain"), p.terms), "far": text.term_offsets(F.col("plain"), p.rivals)})
+    s = s.withColumn("found", metrics.candidates(F.col("plain"), F.col("near"), F.col("far"), p))
     s = s.withColumn("cleaned", metrics.expand_powers(F.transform("found", lambda x: metrics.prepared(x["val"]))))
     values = F.zip_with("found", "cleaned", lambda x, c: metrics.parsed(x["val"], c))
     s = s.withColumns({"metric": F.when(F.size("found") > 0, F.array_join(F.array_distinct(F.transform("found", lambda x: x["val"])), "; ")), "parsed": F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(1))})
     s = s.select("*", F.explode("mine").alias("organism")).where(organisms.mentioned(low, F.col("organism")))
-    rival = organisms.interfered(low, F.col("organism"), F.col("names"))
-    # order of effects: weak context, then negation resets, then interference
-    score = F.when(F.col("negated"), 0).otherwise(F.col("base") - F.when(F.col("is_weak"), 11).otherwise(0)) - F.when(rival, 10).otherwise(0)
-    against = F.when(F.col("negated") & ~F.col("is_weak") & ~rival, 5 + F.when(F.col("confirmed"), 2).otherwise(0) + F.when(F.col("method.n") > 0, 2).otherwise(0))
-    return s.select("pmid", "organism", "ix", "sent", F.col("method.label").alias("label"), "metric", "parsed", score.alias("score"), against.alias("against"), F.contains(low, F.lit(p.root)).alias("has_root"))
+    s = s.withColumn("rival", organisms.interfered(low, F.col("organism"), F.col("names")))
+    score = ev.strength() - F.when(F.col("rival"), 10).otherwise(0)
+    against = F.when(F.col("negated") & ~F.col("is_weak") & ~F.col("rival"), ev.against())
+    return s.select("pmid", "organism", "ix", "sent", "label", "metric", "parsed", score.alias("score"), against.alias("against"), F.contains(low, F.lit(p.root)).alias("has_root"))
 
 
 def best(s: DataFrame) -> DataFrame:
