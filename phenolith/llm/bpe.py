@@ -12,7 +12,7 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -29,7 +29,7 @@ SPACE = "\t-\r \x85\xa0  -     　"
 NOT_YET = [(0x558, 0x558), (0x58b, 0x58c), (0x88f, 0x88f), (0xc5c, 0xc5c), (0xcdc, 0xcdc), (0x208f, 0x208f), (0x209d, 0x209f), (0xa7ce, 0xa7cf), (0xa7d2, 0xa7d2), (0xa7d4, 0xa7d4), (0xa7dd, 0xa7dd), (0xa7e2, 0xa7e2), (0xa7f1, 0xa7f1), (0xab6c, 0xab6d), (0x107bb, 0x107bf), (0x10940, 0x10959), (0x10ec5, 0x10ec7), (0x10ed9, 0x10eee), (0x11b0a, 0x11b0a), (0x11db0, 0x11ddb), (0x11de0, 0x11de9), (0x11df1, 0x11df1), (0x1246f, 0x1246f), (0x12475, 0x1247f), (0x12550, 0x12686), (0x16ea0, 0x16eb8), (0x16ebb, 0x16ed3), (0x16ff2, 0x16ff3), (0x16ff4, 0x16ff6), (0x187f8, 0x187ff), (0x18cd6, 0x18cda), (0x18d09, 0x18d20), (0x18d80, 0x18df2), (0x18e00, 0x19191), (0x191a0, 0x191d2), (0x1b123, 0x1b128), (0x1b168, 0x1b168), (0x1d6a6, 0x1d6a6), (0x1df1f, 0x1df24), (0x1df2b, 0x1df81), (0x1df90, 0x1df96), (0x1dfcd, 0x1dfff), (0x1e6c0, 0x1e6de), (0x1e6e0, 0x1e6e2), (0x1e6e4, 0x1e6e5), (0x1e6e7, 0x1e6ed), (0x1e6f0, 0x1e6f4), (0x1e6fe, 0x1e6ff), (0x2b73a, 0x2b73f), (0x2b81e, 0x2b81e), (0x2cea2, 0x2cead), (0x323b0, 0x33479), (0x3d000, 0x3fc3f)]
 CAPITALS = [(0x1c89, 0x1c89, 1), (0xa7cb, 0xa7cb, -42343), (0xa7cc, 0xa7cc, 1), (0xa7ce, 0xa7ce, 1), (0xa7d2, 0xa7d2, 1), (0xa7d4, 0xa7d4, 1), (0xa7da, 0xa7da, 1), (0xa7dc, 0xa7dc, -42561), (0x10d50, 0x10d65, 32), (0x16ea0, 0x16eb8, 27)]
 #: Words that the cache holds before it starts anew, characters of a word that may enter it, and of texts handled at once.
-CACHE_WORDS, CACHE_CHARS, PIECE = 300_000, 40, 1 << 19
+CACHE_WORDS, CACHE_CHARS, PIECE = 200_000, 40, 1 << 19
 #: Symbols up to which words are merged side by side in numpy; longer ones are merged one by one, with a heap.
 SIDE_BY_SIDE = 64
 NEVER = np.int64(1) << 62
@@ -81,6 +81,15 @@ class Lookup:
         return out
 
 
+def token_strings(spec: dict) -> list[str]:
+    """Token strings by id, those of special tokens included."""
+    every = spec["model"]["vocab"] | {a["content"]: a["id"] for a in spec["added_tokens"]}
+    out = [""] * (max(every.values()) + 1)
+    for s, k in every.items():
+        out[k] = s
+    return out
+
+
 class WordBpe:
     """Byte-level BPE with word ends over lower-cased NFC text, from the JSON of a tokenizer file."""
 
@@ -90,9 +99,7 @@ class WordBpe:
         self.end = model["end_of_word_suffix"]
         vocab, merges = model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.special = {a["content"]: a["id"] for a in j["added_tokens"]}
-        self.strings = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
-        for s, k in [*vocab.items(), *self.special.items()]:
-            self.strings[k] = s
+        self.strings = token_strings(j)
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         pattern = j["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", SPACE)
         newer = "".join(f"{chr(a)}-{chr(b)}" for a, b in NOT_YET)
@@ -315,10 +322,6 @@ class WordBpe:
                 del cache[w]
         return out
 
-    def decode(self, ids: bytes) -> str:
-        """Token strings joined by spaces: the file names no decoder."""
-        return " ".join([self.strings[k] for k in np.frombuffer(ids, "<u4").tolist()])
-
 
 def _model(sent: object) -> WordBpe:
     """One model for each worker process and vocabulary."""
@@ -339,57 +342,59 @@ class _Sent:
         return self.b.value
 
 
-def _runs(texts: list[str]) -> Iterator[list[str]]:
+def _runs(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Slices of a column of texts, each of PIECE characters or so, with their places; a null is an empty text."""
     part: list[str] = []
-    size = 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
+    size, first = 0, 0
+    for k, t in enumerate(column):
+        part.append(t.as_py() or "")
+        size += len(part[-1])
         if size >= PIECE:
-            yield part
-            part, size = [], 0
-    yield part
+            yield first, part
+            part, size, first = [], 0, k + 1
+    if part:
+        yield first, part
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """(id, ids): one row per row of docs; ids holds little-endian unsigned 32-bit token ids. A null text is an empty one."""
+def _encoded(docs: DataFrame, id_col: str, text_col: str, vocabulary: str | None, schema: str, rows: Callable[[list[bytes]], list[pa.Array]]) -> DataFrame:
+    """One worker a task, and batches that leave it as soon as they are encoded: its memory does not depend on Spark's batch size."""
     sent = _Sent(docs.sparkSession, vocabulary or default_path())
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(sent)
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            ids = [x for part in _runs(texts) for x in model.encode_batch(part)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+            for first, texts in _runs(b.column(1)):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(texts)), *rows(model.encode_batch(texts))], names)
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, schema)
+
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "id long, ids binary")
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """(id, ids): one row per row of docs; ids holds little-endian unsigned 32-bit token ids. A null text is an empty one."""
+    return _encoded(docs, id_col, text_col, vocabulary, "id long, ids binary", lambda ids: [pa.array(ids, pa.binary())])
 
 
 def token_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
     """(id, n_tokens, token_ids array<int>): one row per row of docs, as encode()."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in part.column(1).to_pylist()]
-                cuts = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(ids)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(cuts), pa.int64()), lists], ["id", "n_tokens", "token_ids"])
+    def rows(ids: list[bytes]) -> list[pa.Array]:
+        cuts = np.r_[0, np.cumsum([len(x) // 4 for x in ids])].astype(np.int32)
+        return [pa.array(np.diff(cuts), pa.int64()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))]
 
-    return encode(docs, id_col, text_col, vocabulary).mapInArrow(run, "id long, n_tokens long, token_ids array<int>")
+    return _encoded(docs, id_col, text_col, vocabulary, "id long, n_tokens long, token_ids array<int>", rows)
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """(id, ids) -> (id, ids, text)."""
+    """(id, ids) -> (id, ids, text): token strings joined by spaces, as the file names no decoder."""
     sent = _Sent(encoded.sparkSession, vocabulary or default_path())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(sent)
+        strings = token_strings(json.loads(sent.value))
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                texts = [model.decode(x or b"") for x in part.column(1).to_pylist()]
+                texts = [" ".join([strings[k] for k in np.frombuffer(x or b"", "<u4").tolist()]) for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["id", "ids", "text"])
 
     return encoded.select("id", "ids").mapInArrow(run, "id long, ids binary, text string")
