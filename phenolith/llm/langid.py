@@ -31,14 +31,15 @@ def trigram_counts(text: str) -> np.ndarray:
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages in order, and smoothed log probabilities of trigram buckets by language, from `sample` rows of docs with text and language."""
-    rows = docs.select(F.col("doc_id").alias("id"), F.col(lang_col).alias("l"), F.col(text_col).alias("t")).where("l is not null and t is not null")
+    """Languages in order, and smoothed log probabilities of trigram buckets by language, from `sample` ids of docs with text and language; rows without an id are left out."""
+    rows = docs.select(F.col("doc_id").alias("id"), F.col(lang_col).alias("l"), F.col(text_col).alias("t")).where("id is not null and l is not null and t is not null")
 
     @F.arrow_udf("array<double>")
     def counts(t: pa.Array) -> pa.Array:
         return pa.array([trigram_counts(x).tolist() for x in t.to_pylist()], pa.list_(pa.float64()))
 
-    picked = rows.orderBy(F.xxhash64("id"), "id", "t").limit(sample)
+    ids = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)  # ids alone meet in one task
+    picked = rows.join(F.broadcast(ids), "id")
     place = F.posexplode(counts("t")).alias("bucket", "n")
     sums = picked.select("l", place).where("n > 0").groupBy("l", "bucket").agg(F.sum("n").alias("n")).collect()  # BUCKETS rows a language at most
     langs = sorted({r["l"] for r in sums}) or ["und"]
