@@ -176,14 +176,15 @@ def _many(phrases: DataFrame, length: int) -> DataFrame:
 def repeated_starts(rows: DataFrame, length: int = LENGTH, window: int = WINDOW) -> DataFrame:
     """(key, t) -> (key, at): packed ranges of the starts of strings that also start elsewhere.
 
-    Counts have map-side combining and are joined back, so a passage in any share of the texts is no
-    hot group. Digests are of 64 bits; phrases are compared within equal stems only.
+    Counts have map-side combining and are written before they are joined back: between two plain scans
+    Spark splits a hot key, so a passage in any share of the texts is no hot group. Digests are of 64 bits; phrases are compared within equal stems only.
     """
-    again = _phrases(rows, length, window, True).groupBy("stem").agg(F.count("*").alias("n")).where("n > 1").select("stem")
+    again = written(_phrases(rows, length, window, True).groupBy("stem").agg(F.count("*").alias("n")).where("n > 1").select("stem"), "repeats-stems")
     found = written(_phrases(rows, length, window, False).join(again, "stem", "left_semi"), "repeats-phrases")
     dictionary = written(found.groupBy("stem", "phrase").agg(F.count("*").alias("n"), F.min(F.struct("key", "at")).alias("one")), "repeats-dictionary")
     whole = found.join(dictionary.where("n > 1").select("stem", "phrase"), ["stem", "phrase"], "left_semi").select("key", "at")
     several = dictionary.groupBy("stem").agg(F.count("*").alias("m"), F.count_if(F.col("n") == 1).alias("alone")).where("m > 1 and alone > 0").select("stem", (F.col("m") > FEW).alias("many"))
+    several = written(several, "repeats-several")
     taken = dictionary.join(several, "stem").select("stem", "one.*", (F.col("n") == 1).alias("alone"), "many")
     phrases = written(_cut_out(rows, taken, length), "repeats-cut-out", compression="zstd")
     return whole.unionAll(_few(phrases, length)).unionAll(_many(phrases, length))
