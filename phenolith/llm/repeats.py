@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import shuffle_parts, written
+from .common import packed, shuffle_parts, written
 
 LENGTH, GRAM = 200, 8
 #: Starts among which a trigger is chosen, and starts of a text that are handled at once.
@@ -101,20 +101,6 @@ def _phrases(rows: DataFrame, length: int, window: int, only_stems: bool) -> Dat
     return rows.select("key", "t").mapInArrow(run, "stem long" if only_stems else "stem long, phrase long, key long, at long")
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """(key, id, z): texts as Zstandard frames, which halves what a shuffle writes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                z = [press.compress(t or b"") for t in part.column(2).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(z, pa.binary())], ["key", "id", "z"])
-
-    return rows.mapInArrow(run, "key long, id long, z binary")
-
-
 def _cut_out(rows: DataFrame, taken: DataFrame, length: int) -> DataFrame:
     """taken (stem, key, at, alone, many) with the bytes that each phrase covers."""
 
@@ -130,7 +116,7 @@ def _cut_out(rows: DataFrame, taken: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([parts.field("stem"), key, parts.field("at"), parts.field("alone"), parts.field("many"), pa.array(cut, pa.binary())], ["stem", "key", "at", "alone", "many", "phrase"])
 
     by_key = taken.groupBy("key").agg(F.collect_list(F.struct("stem", "at", "alone", "many")).alias("parts"))
-    return _packed(rows).join(by_key, "key").select("key", "z", "parts").mapInArrow(run, "stem long, key long, at long, alone boolean, many boolean, phrase binary")
+    return packed(rows).join(by_key, "key").select("key", "z", "parts").mapInArrow(run, "stem long, key long, at long, alone boolean, many boolean, phrase binary")
 
 
 def _few(phrases: DataFrame, length: int) -> DataFrame:
@@ -219,4 +205,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         gone = np.cumsum(depth)[:-1] > 0
         return len(text), int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), np.frombuffer(text, np.uint8)[~gone].tobytes()
 
-    return _packed(rows).join(ranges, "key", "left").select("id", "z", "ats").mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return packed(rows).join(ranges, "key", "left").select("id", "z", "ats").mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -18,16 +18,19 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_parts, written
+from .common import packed, shuffle_parts, written
 from .components import connected_components
 
 SEED = 42
 #: Choices of the positions whose bytes must be equal.
 KEPT = list(combinations(range(8), 6))
 PIECE = 1 << 16
+#: Keys of a text in the index for shingle similarity, and positions whose values must be equal for one.
+KEYS, PER_KEY = 20, 5
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -148,6 +151,98 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(label, "fp").select("id", "fp", "component")
 
 
+def _shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """Distinct XXH64 of the word shingles (fewer words: the whole sequence; none: no hash), in order."""
+    words = text.lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    h64, join = xxhash.xxh64_intdigest, b" ".join
+    if len(words) <= shingle:
+        return np.array([h64(join(words), SEED)], np.uint64)
+    return np.unique(np.fromiter((h64(join(x), SEED) for x in zip(*(words[k:] for k in range(shingle)), strict=False)), np.uint64))
+
+
+def _position_keys(hashes: np.ndarray) -> np.ndarray:
+    """KEYS longs: each is a digest of the values at PER_KEY positions; a position holds the least hash of the text in an order of its own."""
+    rng = np.random.default_rng(SEED)
+    n = KEYS * PER_KEY
+    mix, odd = rng.integers(0, 1 << 32, n, np.uint32)[:, None], rng.integers(0, 1 << 32, n, np.uint32)[:, None] | np.uint32(1)
+    low, least = (hashes >> np.uint64(32)).astype(np.uint32), np.full(n, np.iinfo(np.uint32).max)
+    for at in range(0, len(low), 4096):
+        least = np.minimum(least, ((low[None, at : at + 4096] ^ mix) * odd).min(1))
+    rows = least.reshape(KEYS, -1)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), k) for k, r in enumerate(rows)], np.uint64).view(np.int64)
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(id, whole, keys): whole is a digest of the words, keys those of _position_keys(). Rows without an id are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            whole, keys = [], []
+            for t in b.column(1).cast(pa.binary()).to_pylist():
+                whole.append(xxhash.xxh64_intdigest(b" ".join((t or b"").lower().split()), SEED))
+                keys.append(_position_keys(_shingle_hashes(t or b"", shingle)))
+            values = pa.array(np.concatenate(keys)) if keys else pa.array([], pa.int64())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * KEYS, pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(whole, np.uint64).view(np.int64)), lists], ["id", "whole", "keys"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).where("id is not null")
+    return rows.mapInArrow(run, "id long, whole long, keys array<long>")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """(src, dst) of the pairs whose shingle sets have that Jaccard similarity. Texts meet as Zstandard frames; a hot text is repeated by Spark's split of skewed joins."""
+    ids = written(pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "similar-ids")
+    texts = docs.select(F.col(id_col).cast("long").alias("key"), F.lit(0).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    z = written(packed(texts).select("key", "z").join(ids, F.col("key") == ids["id"], "left_semi"), "similar-texts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
+        last: tuple[bytes, np.ndarray] = (b"", np.empty(0, np.uint64))
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                if last[0] != (frame := y.as_py()):
+                    last = (frame, _shingle_hashes(press.decompress(frame), shingle))
+                one, other = _shingle_hashes(press.decompress(x.as_py()), shingle), last[1]
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                keep.append(both >= similarity * (len(one) + len(other) - both))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["src", "dst"]).filter(pa.array(keep, pa.bool_()))
+
+    left = pairs.join(z.select(F.col("key").alias("src"), F.col("z").alias("a")), "src")
+    return left.join(z.select(F.col("key").alias("dst"), F.col("z").alias("b")), "dst").select("src", "dst", "a", "b").mapInArrow(run, "src long, dst long")
+
+
+def similar_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(node, root) of the documents linked to another one by shingle sets of that similarity; root is the smallest id reached.
+
+    The same index as for fingerprints, with wider positions: two texts at 0.8 share a position's value
+    with that probability, so of KEYS keys of PER_KEY positions they share one at least with probability
+    0.9996. In a posting every text meets the ones of smallest and of largest id, not all others, and
+    each pair is then verified on the whole texts. Equal texts (by words) are one node before that.
+    """
+    rows = written(_keyed(docs, id_col, text_col, shingle), "similar")
+    first = written(rows.groupBy("whole").agg(F.min("id").alias("least"), F.min_by("keys", "id").alias("keys")), "similar-distinct")
+    posts = first.select(F.col("least").alias("id"), F.explode("keys").alias("key"))
+    ends = written(posts.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "similar-postings")
+    met = posts.join(ends, "key").select("id", F.explode(F.array("lo", "hi")).alias("other")).where("id <> other")
+    pairs = written(met.select(F.greatest("id", "other").alias("src"), F.least("id", "other").alias("dst")).distinct(), "similar-pairs")
+    links = written(_verified(pairs, docs, id_col, text_col, shingle, similarity), "similar-links")
+    copies = rows.join(first.select("whole", "least"), "whole").where("id <> least").select(F.col("id").alias("src"), F.col("least").alias("dst"))
+    return connected_components(links.unionAll(copies))
+
+
+def similar_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of docs, all columns unchanged, whose id is the smallest of those linked by similar_links().
+
+    Of repeated rows with that id one stays, as do rows without an id; wordless texts are copies of one another.
+    """
+    gone = written(similar_links(docs, id_col, text_col, shingle, similarity).where("node <> root").select("node").distinct(), "similar-gone")
+    kept = docs.where(F.col(id_col).isNotNull()).join(gone, docs[id_col] == gone["node"], "left_anti").dropDuplicates([id_col])
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 2) -> DataFrame:
     """The rows of docs, all columns unchanged, whose id is their component's smallest.
 

@@ -221,3 +221,36 @@ def test_chroma_finds_excerpts(spark):
     own = got[got.query_id == got.class_id]
     assert set(own.query_id) == {0, 10, 20, 30, 40, 50} and (own.offset_frames == 12).all() and own[own.query_id == 10].n_copies.tolist() == [4]
     assert chroma.excerpts_found(vectors.limit(0), F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_similar_documents_against_all_pairs(spark, docs, none):
+    rng = np.random.default_rng(5)
+    word = lambda: f"w{rng.integers(10**9)}"
+    rows = []
+    for n in (6, 30, 120, 900):
+        base = [word() for _ in range(n)]
+        for c in (0, 0, 1, 2, 5, 12, 30):
+            other = list(base)
+            for at in rng.choice(n, min(c, n - 1), replace=False):
+                other[at] = word()
+            rows.append(" ".join(other))
+    base = [word() for _ in range(150)]  # one large group of near copies
+    rows += [" ".join([*base[:k], word(), *base[k + 1 :]]) for k in range(150)]
+    got = {r["node"]: r["root"] for r in simhash.similar_links(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+
+    def shingles(t):
+        w = t.split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+    sets, root = [shingles(t) for t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert [got.get(k, k) for k in range(len(rows))] == root
+    assert simhash.similar_representatives(none).count() == 0
+    kept = simhash.similar_representatives(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == [0, 2, 3, 5, 7, 8, 10]  # 9 is 31/37 like 0
+    assert kept.where("doc_id is null").count() == 1
