@@ -22,8 +22,8 @@ def _state(e: DataFrame) -> tuple:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(src, dst) longs -> (node, root): each node that has an edge, and the smallest node it reaches.
 
-    A node's minimum comes from a grouped min with map-side combining and is joined back, so a hub's
-    rows are never gathered in one group. Each round is written to the shared folder; the driver
+    A node's minimum comes from a grouped min with map-side combining, is written, and is joined back
+    between two plain scans, where Spark splits a hub's rows over tasks. Each round is written to the shared folder; the driver
     sees only a count and a checksum. Loops and rows with a null end are ignored; an empty graph
     gives an empty table.
     """
@@ -31,13 +31,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     state = _state(e)
     while True:
         both = e.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionAll(e.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-least")
         large = e.join(least, e.lo == least.u).select("hi", F.col("m").alias("lo")).distinct()
         low = large.groupBy("hi").agg(F.min("lo").alias("m")).withColumnRenamed("hi", "u")
         small = large.join(low, large.hi == low.u).where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         new = written(small.unionAll(low.select(F.col("u").alias("hi"), F.col("m").alias("lo"))).distinct(), "cc")
         now = _state(new)
         drop_written(e)
+        drop_written(least)
         e = new
         if now == state and now[0] == now[2]:
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionAll(e.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
