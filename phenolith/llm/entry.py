@@ -67,4 +67,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_quality, op3_repeats, op4_chroma, op5_language_id, op6_pii, op7_warc_bundles, op8_bpe, op9_ivf_pq, op10_mixing)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_warc_bundles": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS leader FROM pages)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1 AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = leader THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> leader THEN leader END AS refers_to
+FROM p"""
+}
