@@ -12,6 +12,7 @@ it gives a spanning star for each of its linked sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed, shuffle_parts, written
@@ -29,8 +30,10 @@ SEED = 42
 #: Choices of the positions whose bytes must be equal.
 KEPT = list(combinations(range(8), 6))
 PIECE = 1 << 16
-#: Keys of a text in the index for shingle similarity, and positions whose values must be equal for one.
-KEYS, PER_KEY = 20, 5
+#: Texts in which common shingles are counted, the texts a common one is in at least, and how many are kept. They order the index only; any choice gives the same links.
+SAMPLE, COMMON, MOST = 5_000, 3, 100_000
+#: Longs of the bitmap of a text's shingles; its size has no part in the result.
+BITMAP = 8
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -162,33 +165,69 @@ def _shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter((h64(join(x), SEED) for x in zip(*(words[k:] for k in range(shingle)), strict=False)), np.uint64))
 
 
-def _position_keys(hashes: np.ndarray) -> np.ndarray:
-    """KEYS longs: each is a digest of the values at PER_KEY positions; a position holds the least hash of the text in an order of its own."""
-    rng = np.random.default_rng(SEED)
-    n = KEYS * PER_KEY
-    mix, odd = rng.integers(0, 1 << 32, n, np.uint32)[:, None], rng.integers(0, 1 << 32, n, np.uint32)[:, None] | np.uint32(1)
-    low, least = (hashes >> np.uint64(32)).astype(np.uint32), np.full(n, np.iinfo(np.uint32).max)
-    for at in range(0, len(low), 4096):
-        least = np.minimum(least, ((low[None, at : at + 4096] ^ mix) * odd).min(1))
-    rows = least.reshape(KEYS, -1)
-    return np.array([xxhash.xxh64_intdigest(r.tobytes(), k) for k, r in enumerate(rows)], np.uint64).view(np.int64)
+def _common(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes that COMMON or more of SAMPLE texts hold, in order, and in how many."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).where("id is not null")
+    ids = texts.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column(0).cast(pa.binary()).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(_shingle_hashes(t or b"", shingle).view(np.int64))], ["h"])
+
+    found = texts.join(F.broadcast(ids), "id").select("t").mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= COMMON)
+    rows = found.orderBy(F.desc("count"), "h").limit(MOST).collect()
+    hashes, n = np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["count"] for r in rows], np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
+
+
+def _prefix(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first hashes of a text, rare before common, so many that two texts of that similarity share one of them: each lacks n - ceil(similarity * n) of its own at most."""
+    if not len(hashes):
+        return hashes
+    known, n = common
+    rank = np.zeros(len(hashes), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        rank = np.where(known[at] == hashes, n[at], 0)
+    return hashes[np.lexsort((hashes, rank))[: len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1]]
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, whole, keys): whole is a digest of the words, keys those of _position_keys(). Rows without an id are left out."""
+def _bitmap(hashes: np.ndarray) -> np.ndarray:
+    """BITMAP longs, a bit each for whether an odd number of the hashes falls on it: two texts differ in as many shingles at least as in bits."""
+    odd = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % (64 * BITMAP), minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _may_reach(n: Column, bits: Column, other_n: Column, other_bits: Column, similarity: float) -> Column:
+    """Whether sizes and bitmaps leave room for that similarity: the larger is not too large, and the bits that differ are no more than the shingles that may."""
+    differ = sum(F.bit_count(bits[k].bitwiseXOR(other_bits[k])) for k in range(BITMAP))
+    return (F.least(n, other_n) >= similarity * F.greatest(n, other_n) - 1e-6) & (differ <= (1 - similarity) / (1 + similarity) * (n + other_n) + 1e-6)
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """(id, whole, n, bits, keys): whole is a digest of the words, n counts the shingles, bits is their bitmap, keys are those of _prefix(). Rows without an id are left out."""
+    common = _common(docs, id_col, text_col, shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            whole, keys = [], []
-            for t in b.column(1).cast(pa.binary()).to_pylist():
-                whole.append(xxhash.xxh64_intdigest(b" ".join((t or b"").lower().split()), SEED))
-                keys.append(_position_keys(_shingle_hashes(t or b"", shingle)))
-            values = pa.array(np.concatenate(keys)) if keys else pa.array([], pa.int64())
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * KEYS, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(whole, np.uint64).view(np.int64)), lists], ["id", "whole", "keys"])
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                whole, n, bits, keys = [], [], [], []
+                for t in part.column(1).cast(pa.binary()).to_pylist():
+                    whole.append(xxhash.xxh64_intdigest(b" ".join((t or b"").lower().split()), SEED))
+                    hashes = _shingle_hashes(t or b"", shingle)
+                    n.append(len(hashes))
+                    bits.append(_bitmap(hashes))
+                    keys.append(_prefix(hashes, common, similarity).view(np.int64))
+                ends = np.cumsum([0, *map(len, keys)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))
+                maps = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BITMAP, pa.int32()), pa.array(np.concatenate(bits)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array(whole, np.uint64).view(np.int64)), pa.array(n, pa.int64()), maps, lists], ["id", "whole", "n", "bits", "keys"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).where("id is not null")
-    return rows.mapInArrow(run, "id long, whole long, keys array<long>")
+    return rows.mapInArrow(run, "id long, whole long, n long, bits array<long>, keys array<long>")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
@@ -217,20 +256,41 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shi
 def similar_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(node, root) of the documents linked to another one by shingle sets of that similarity; root is the smallest id reached.
 
-    The same index as for fingerprints, with wider positions: two texts at 0.8 share a position's value
-    with that probability, so of KEYS keys of PER_KEY positions they share one at least with probability
-    0.9996. In a posting every text meets the ones of smallest and of largest id, not all others, and
-    each pair is then verified on the whole texts. Equal texts (by words) are one node before that.
+    An exact candidate rule: shingles have one order, rare before common, and two texts at `similarity`
+    share one of the first of each (prefix filtering); sizes and bitmaps rule out pairs that cannot reach it. In a
+    posting every text first meets two pivots, which differ by posting. Then those that are not yet in
+    one component meet all the others of theirs, so that each pair of a posting is linked or compared;
+    a join on the posting does that, which Spark splits where it is hot. Pairs are verified on the whole
+    texts. Equal texts (by words) are one node before that.
     """
-    rows = written(_keyed(docs, id_col, text_col, shingle), "similar")
-    first = written(rows.groupBy("whole").agg(F.min("id").alias("least"), F.min_by("keys", "id").alias("keys")), "similar-distinct")
-    posts = first.select(F.col("least").alias("id"), F.explode("keys").alias("key"))
-    ends = written(posts.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "similar-postings")
-    met = posts.join(ends, "key").select("id", F.explode(F.array("lo", "hi")).alias("other")).where("id <> other")
-    pairs = written(met.select(F.greatest("id", "other").alias("src"), F.least("id", "other").alias("dst")).distinct(), "similar-pairs")
+    rows = written(_keyed(docs, id_col, text_col, shingle, similarity), "similar")
+    of = F.min_by(F.struct("n", "bits", "keys"), "id").alias("of")
+    first = written(rows.groupBy("whole").agg(F.min("id").alias("least"), of).select(F.col("least").alias("id"), "whole", "of.n", "of.bits", "of.keys"), "similar-distinct")
+    every, sets = first.select("id", F.explode("keys").alias("key")), first.select("id", "n", "bits")
+    by = F.struct(F.xxhash64("id", "key").alias("h"), "id")
+    ends = written(every.groupBy("key").agg(F.min(by).alias("lo"), F.max(by).alias("hi")).where("lo.id <> hi.id").select("key", F.array("lo.id", "hi.id").alias("pivots")), "similar-postings")
+    posts = written(every.join(ends, "key"), "similar-posts")
+    met = posts.select("id", F.explode("pivots").alias("o")).where("id <> o").select(F.greatest("id", "o").alias("src"), F.least("id", "o").alias("dst")).distinct()
+    one, other = (sets.select(F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits")) for x in ("src", "dst"))
+    may = _may_reach(F.col("src_n"), F.col("src_bits"), F.col("dst_n"), F.col("dst_bits"), similarity)
+    pairs = written(met.join(one, "src").join(other, "dst").where(may).select("src", "dst"), "similar-pairs")
     links = written(_verified(pairs, docs, id_col, text_col, shingle, similarity), "similar-links")
-    copies = rows.join(first.select("whole", "least"), "whole").where("id <> least").select(F.col("id").alias("src"), F.col("least").alias("dst"))
-    return connected_components(links.unionAll(copies))
+
+    roots = written(connected_components(links), "similar-roots")
+    in_posts = written(posts.join(roots, posts.id == roots.node, "left").select("key", "id", F.coalesce("root", "id").alias("root")), "similar-labelled")
+    sizes = in_posts.groupBy("key", "root").count()
+    top = sizes.groupBy("key").agg(F.max(F.struct("count", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1").select("key", F.col("top.root").alias("top"))
+    still = written(in_posts.join(written(top, "similar-open"), "key").join(sets, "id"), "similar-still")
+    one, other = (still.select("key", "top", *(F.col(c).alias(f"{x}_{c}") for c in ("id", "root", "n", "bits"))) for x in ("a", "b"))
+    # of two outside the largest component, the larger id asks
+    asks = (F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("top")) | (F.col("a_id") > F.col("b_id")))
+    may = _may_reach(F.col("a_n"), F.col("a_bits"), F.col("b_n"), F.col("b_bits"), similarity)
+    open_pairs = one.where("a_root <> top").drop("top").join(other, "key").where(asks & may).select(F.greatest("a_id", "b_id").alias("src"), F.least("a_id", "b_id").alias("dst")).distinct()
+    more = written(open_pairs.join(pairs, ["src", "dst"], "left_anti"), "similar-pairs")
+    late = written(_verified(more, docs, id_col, text_col, shingle, similarity), "similar-links")
+
+    copies = rows.join(first.select("whole", F.col("id").alias("least")), "whole").where("id <> least").select(F.col("id").alias("src"), F.col("least").alias("dst"))
+    return connected_components(links.unionAll(late).unionAll(copies))
 
 
 def similar_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -254,3 +254,16 @@ def test_similar_documents_against_all_pairs(spark, docs, none):
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == [0, 2, 3, 5, 7, 8, 10]  # 9 is 31/37 like 0
     assert kept.where("doc_id is null").count() == 1
+
+
+def test_similar_documents_on_a_template(spark):
+    rng = np.random.default_rng(6)
+    template, rows = [f"t{k}" for k in range(400)], []
+    for k in range(30):  # pairs at 0.8 or more, all others of the template just below
+        own = [*template, *(f"o{k}x{j}" for j in range(18))]
+        rows += [" ".join([*own, *(f"e{k}x{c}x{j}" for j in range(int(rng.integers(44, 49))))]) for c in range(2)]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, rows)]
+    near = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    assert all(near(i, j) == (i // 2 == j // 2) for i in range(60) for j in range(i))
+    got = {r["node"]: r["root"] for r in simhash.similar_links(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert got == {k: k - k % 2 for k in range(60)}
