@@ -267,3 +267,9 @@ def test_similar_documents_on_a_template(spark):
     assert all(near(i, j) == (i // 2 == j // 2) for i in range(60) for j in range(i))
     got = {r["node"]: r["root"] for r in simhash.similar_links(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
     assert got == {k: k - k % 2 for k in range(60)}
+
+
+@pytest.mark.parametrize("value", ["8.8.8.8", "1.1.1.1", "8.8.4.4", "a1b2c3d4e5f6a7b8" * 2, "A1B2C3D4E5F6A7B8" * 3, "abcdefabcdefabcd" * 2, "a@b.org", "GB82 WEST 1234 5698 7654 32", "(659) 555-3949", "+1 659 555 3949", "4845168114407329", "123-45-6789", "2024-02-29", "29.02.2024"])
+def test_pii_alone_in_a_text(value):
+    alone, beside = pii.redact(f"see {value} there"), pii.redact(f"see {value} there 10 a@")
+    assert value not in alone and beside == alone + " 10 a@"
