@@ -85,7 +85,7 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
     langs, table = train(docs)
     url, html = F.coalesce(F.col(url_col).cast("string"), F.lit("")), F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    declared = F.substring(F.lower(F.regexp_extract(html, r"(?i)<html\b[^>]{0,500}?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)), 1, 2)
+    declared = F.substring(F.lower(F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)), 1, 2)
     rows = pages.select(F.col(id_col).cast("long").alias("id"), host.alias("host"), declared.alias("declared"), text_log_likelihood(html, langs, table).alias("ll"))
     rows = written(rows.withColumns({"suffix": F.substring_index("host", ".", -1), "domain": F.substring_index("host", ".", -2), "post": _softmax(F.col("ll"))}), "langid")
     n = len(langs)

@@ -273,3 +273,10 @@ def test_similar_documents_on_a_template(spark):
 def test_pii_alone_in_a_text(value):
     alone, beside = pii.redact(f"see {value} there"), pii.redact(f"see {value} there 10 a@")
     assert value not in alone and beside == alone + " 10 a@"
+
+
+def test_language_declared_after_long_attributes(spark):
+    train = spark.createDataFrame([(0, "the house and the garden", "en"), (1, "la maison et le jardin", "fr")], "doc_id long, text string, lang string")
+    tags = ['<html lang="fr">', f'<html class="{"x " * 2000}" lang="fr">', f'<html prefix="{"og: http://ogp.me/ns# " * 40}"\n lang=fr>', f'<html class="{"x " * 2000}"><p lang="fr">']
+    pages = spark.createDataFrame([(k, "https://a.example/", f"{t}<p>maison") for k, t in enumerate(tags)], "page_id long, url string, html string")
+    assert {r["id"]: r["declared"] for r in langid.identify(pages, train).collect()} == {0: "fr", 1: "fr", 2: "fr", 3: ""}
