@@ -124,6 +124,12 @@ def q_binomial_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.where((F.length("species") >= 3) & ~F.col("species").rlike("[^a-z]") & ~F.col("species").isin(INVALID_SPECIES + STOP_WORDS)).groupBy("doc_id").agg(F.count("*").alias("n"), F.count_distinct("species").alias("n_distinct"))
 
 
+@query()  # no SQL: RE2 has neither Unicode's word boundaries nor the look back for abbreviated names
+def q_organism_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its names of listed genera, and with those that only look like one."""
+    return organisms.with_candidates(organisms.with_candidates(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "organisms"), "text", "candidates", unlisted=True).drop("text")
+
+
 @query("""WITH d AS (SELECT doc_id, string_split(lower(text), 'the') AS g FROM documents), e AS (SELECT doc_id, unnest(list_transform(range(1, len(g)), lambda i: list_sum(list_transform(g[1:i], lambda x: length(x))) + 3 * (i - 1))) AS pos FROM d WHERE len(g) > 1)
 SELECT doc_id, count(*) AS n, CAST(min(pos) AS BIGINT) AS first_pos, CAST(max(pos) AS BIGINT) AS last_pos FROM e GROUP BY doc_id""")
 def q_term_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """Golden cases of mining, tables and sources."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from phenolith.functions import evidence, metrics, organisms, text
-from phenolith.lexicons import phenotype
+from phenolith.lexicons import GENERA, INVALID_SPECIES, PLANT_GENERA, STOP_WORDS, phenotype
 from phenolith.operators import tables as ops
 from phenolith.plans.mining import Options, mine
 from phenolith.sources import readers
@@ -105,3 +107,32 @@ def test_queries_are_named_and_paired():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def names_by_hand(t, unlisted):
+    """Names in a text, by Python's regular expressions alone."""
+
+    def canonical(genus, species):
+        species = re.sub(r"^([a-z]+)[.-]\d\w*$", r"\1", species.lower())
+        if len(species) < 3 or not species.isalpha() or species in INVALID_SPECIES + STOP_WORDS:
+            return None
+        open_ = unlisted and genus not in PLANT_GENERA and genus.lower() not in STOP_WORDS and len(genus) >= 4 and genus[1:].islower() and len(species) >= 4
+        return f"{genus} {species}" if genus in GENERA or open_ else None
+
+    full = [(m.start(), m[1], m[2]) for m in re.finditer(r"\b([A-Z][a-z]+)\s+([a-z0-9]+(?:[\.-][a-z0-9]+)?)\b", t or "")]
+    found = {canonical(g, s) for _, g, s in full}
+    for m in re.finditer(r"\b([A-Z])\.\s*([a-z]+(?:[\.-][a-z]+)?)\b", t or ""):
+        before = {g for at, g, _ in full if at < m.start() and g[0] == m[1]}
+        if len(before) == 1:
+            found.add(canonical(*before, m[2]))
+    return sorted(found - {None})
+
+
+def test_candidates_of_every_document(spark, tmp_path):
+    import __spark_entry__ as e
+
+    texts = ["Bacillus subtilis et B. licheniformis dans le café", "Über Pseudomonas putida, P. fluorescens und Pantoea agglomerans; P. stutzeri", "Élan Rhizobium meliloti-1021 \u00a0Azotobacter\u00a0vinelandii", "été Bacillus subtilisé Ébacillus cereus", "Plain Bacillus cereus. Lorem ipsum dolor, L. amet", "Öl B. subtilis Bacillus x", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["organisms"] or [], r["candidates"] or []) for r in e.queries()["q_organism_candidates"](spark, str(tmp_path)).collect()}
+    assert got == {k: (names_by_hand(t, False), names_by_hand(t, True)) for k, t in enumerate(texts)}
+    assert got[0][0] == ["Bacillus licheniformis", "Bacillus subtilis"] and "Pantoea agglomerans" in got[1][0]
