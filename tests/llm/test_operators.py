@@ -280,3 +280,25 @@ def test_language_declared_after_long_attributes(spark):
     tags = ['<html lang="fr">', f'<html class="{"x " * 2000}" lang="fr">', f'<html prefix="{"og: http://ogp.me/ns# " * 40}"\n lang=fr>', f'<html class="{"x " * 2000}"><p lang="fr">']
     pages = spark.createDataFrame([(k, "https://a.example/", f"{t}<p>maison") for k, t in enumerate(tags)], "page_id long, url string, html string")
     assert {r["id"]: r["declared"] for r in langid.identify(pages, train).collect()} == {0: "fr", 1: "fr", 2: "fr", 3: ""}
+
+
+def test_chroma_against_all_offsets():
+    rng = np.random.default_rng(7)
+    recs = [rng.integers(0, 1 << 32, int(n), np.uint32) for n in rng.integers(1, 70, 80)]
+    recs[5] = np.tile(recs[5][:1], 60)  # steady
+    block, starts = np.concatenate(recs), np.r_[0, np.cumsum([len(r) for r in recs])]
+    found = 0
+    for r, own in enumerate(recs):
+        part = own[len(own) // 4 :]
+        flips = np.packbits(rng.random((len(part), 32)) < 0.15, axis=1).view(np.uint32).ravel()
+        query = np.r_[part ^ flips, rng.integers(0, 1 << 32, 6, np.uint32)]
+        want = {}
+        for k, other in enumerate(recs):
+            for o in range(-len(query) + 1, len(other)):
+                a, z = max(0, -o), min(len(query), len(other) - o)
+                wrong = int(np.bitwise_count(query[a:z] ^ other[a + o : z + o]).sum())
+                if z - a >= chroma.OVERLAP and wrong <= chroma.ERROR * 32 * (z - a):
+                    want[k] = min(want.get(k, (np.inf,)), (wrong - 16 * (z - a), o, z - a, wrong / 32 / (z - a)))
+        assert {k: (o, n, e) for k, o, _, n, e in chroma.align(query, block, starts)} == {k: v[1:] for k, v in want.items()}
+        found += r in want
+    assert found >= 50
