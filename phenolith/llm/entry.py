@@ -24,7 +24,7 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    found = quality.score(docs, _table(spark, sf_dir, "labels"), *site_columns())
+    found = quality.score(docs, _table(spark, sf_dir, "labels"), *site_columns(), columns=["doc_id"])
     return found.select("doc_id", *(F.round(f"quality_{x}", 6).alias(x) for x in ("evidence", "shift", "score")), (F.col("quality_score") >= 0).alias("keep"))
 
 
@@ -43,7 +43,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_pseudonyms")
+    return pii.pseudonymise(_table(spark, sf_dir, "documents"), pii.session_key(spark)).select("doc_id", "text", "n_pseudonyms")
 
 
 def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:

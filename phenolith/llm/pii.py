@@ -1,23 +1,28 @@
 """Format-preserving pseudonyms for personal data.
 
 Validated numbers, dates, addresses and secrets are mapped by a keyed Feistel permutation of all
-values of their format: a card number becomes another that passes its check, a date another date.
-Equal values get equal pseudonyms in every document, and no table of them is kept.
+values of their format: a card number becomes another that passes its check, a date another date, a
+number that may be issued another that may be. Equal values get equal pseudonyms in every document, and
+no table of them is kept. Whoever has the key can undo them, so there is no default key.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import secrets
 from collections.abc import Callable
 from datetime import date
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROUNDS = 10
-KEY = b"phenolith"
+from .common import small_batches, trimmed
+
+ROUNDS, LEAST_KEY = 10, 16
+#: Session setting that holds the key in hexadecimal digits; Spark leaves settings with "secret" in their names out of its logs.
+KEY_CONF = "spark.phenolith.pii.secret"
 
 #: Shapes by kind, first match first; values are validated afterwards.
 SHAPES = {
@@ -35,7 +40,20 @@ FOUND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in SHAPES.items()))
 HINT = re.compile(r"\d{2}|@|\d\.\d|[0-9a-f]{32}|[0-9A-F]{32}")
 
 
-def permute(value: int, size: int, kind: str, key: bytes = KEY, back: bool = False) -> int:
+def session_key(spark: SparkSession) -> bytes:
+    """The key in KEY_CONF; where it is unset, a random one that the session keeps, so that pseudonyms cannot be undone after it. Set one to link values across sessions."""
+    if not spark.conf.get(KEY_CONF, None):
+        spark.conf.set(KEY_CONF, secrets.token_hex(32))
+    return checked(bytes.fromhex(spark.conf.get(KEY_CONF)))
+
+
+def checked(key: bytes) -> bytes:
+    if len(key) < LEAST_KEY:
+        raise ValueError(f"the key of pseudonyms must have {LEAST_KEY} bytes or more")
+    return key
+
+
+def permute(value: int, size: int, kind: str, key: bytes, back: bool = False) -> int:
     """A keyed permutation of 0..size-1: a Feistel network on the next even number of bits, walked until it is below size."""
     half = max(1, ((size - 1).bit_length() + 1) // 2)
     mask, width = (1 << half) - 1, (half + 7) // 8
@@ -78,17 +96,33 @@ def characters(text: str, kind: str, key: bytes, back: bool) -> str:
     return "".join(reversed(out))
 
 
-def digits(text: str, n_fixed: int, kind: str, key: bytes, back: bool, check: Callable[[str], str] | None = None) -> str:
-    """The digits of text after the first n_fixed permuted, separators in place; check gives the last digit from those before it."""
+def digits(text: str, n_fixed: int, kind: str, key: bytes, back: bool, check: Callable[[str], str] | None = None, sort: Callable[[str], object] = lambda body: None) -> str:
+    """The digits of text after the first n_fixed permuted, separators in place; check gives the last digit from those before it.
+
+    Numbers are permuted among those of the same sort: the permutation of all is walked until one is met.
+    """
     plain = re.sub(r"\D", "", text)
-    body = plain[n_fixed : len(plain) - bool(check)]
-    new = plain[:n_fixed] + str(permute(int(body), 10 ** len(body), f"{kind}{len(body)}", key, back)).zfill(len(body))
+    old = body = plain[n_fixed : len(plain) - bool(check)]
+    while True:
+        body = str(permute(int(body), 10 ** len(body), f"{kind}{len(body)}", key, back)).zfill(len(body))
+        if sort(body) == sort(old):
+            break
+    new = plain[:n_fixed] + body
     if check:
         new += check(new)
     it = iter(new)
     return re.sub(r"\d", lambda _: next(it), text)
 
 
+def issued_ssn(plain: str) -> bool:
+    return plain[:3] not in ("000", "666") and plain[0] != "9" and plain[3:5] != "00" and plain[5:] != "0000"
+
+
+def phone_sort(plain: str) -> tuple[bool, bool]:
+    """Of ten digits: whether area code and exchange may begin as they do in North America."""
+    return plain[0] in "23456789", plain[3] in "23456789"
+
+
 def luhn_digit(body: str) -> str:
     odd = [int(c) for c in body[::-1]]
     return str(-(sum(sum(divmod(2 * d, 10)) for d in odd[::2]) + sum(odd[1::2])) % 10)
@@ -110,7 +144,7 @@ def _date(text: str) -> tuple[date, str] | None:
     return (day, text[2] if text[4] != "-" else "-") if 0 <= day.toordinal() - FIRST < DAYS else None
 
 
-def pseudonym(kind: str, text: str, key: bytes = KEY, back: bool = False) -> str:
+def pseudonym(kind: str, text: str, key: bytes, back: bool = False) -> str:
     """The pseudonym of a value of that shape; the value itself if it is not valid. back undoes it."""
     if kind == "email":
         local, _, domain = text.partition("@")
@@ -129,14 +163,16 @@ def pseudonym(kind: str, text: str, key: bytes = KEY, back: bool = False) -> str
         n = len(re.sub(r"\D", "", text))
         if not 10 <= n <= 15:
             return text
-        return digits(text, max(0, n - 10) if text[0] == "+" or n > 10 else 0, "phone", key, back)
+        # the last ten digits; a country code and what follows it beyond these stay
+        return digits(text, n - 10, "phone", key, back, sort=phone_sort)
     if kind == "card":
         plain = re.sub(r"\D", "", text)
         if len(plain) > 19 or len(set(plain)) == 1 or luhn_digit(plain[:-1]) != plain[-1]:
             return text
-        return digits(text, 0, "card", key, back, luhn_digit)
+        # not one digit repeated, which does not count as a number
+        return digits(text, 0, "card", key, back, luhn_digit, lambda body: len(set(body + luhn_digit(body))) == 1)
     if kind == "ssn":
-        return text if text[:3] in ("000", "666") or text[0] == "9" or text[4:6] == "00" or text[7:] == "0000" else digits(text, 0, "ssn", key, back)
+        return digits(text, 0, "ssn", key, back, sort=issued_ssn) if issued_ssn(re.sub(r"\D", "", text)) else text
     if kind == "date":
         found = _date(text)
         if not found:
@@ -150,7 +186,7 @@ def pseudonym(kind: str, text: str, key: bytes = KEY, back: bool = False) -> str
     return ".".join(map(str, value.to_bytes(4)))
 
 
-def redact(text: str, key: bytes = KEY, counts: dict[str, int] | None = None) -> str:
+def redact(text: str, key: bytes, counts: dict[str, int] | None = None) -> str:
     """A whole text with its valid values replaced; counts gets the replacements by kind."""
     if not HINT.search(text):
         return text
@@ -165,23 +201,27 @@ def redact(text: str, key: bytes = KEY, counts: dict[str, int] | None = None) ->
     return FOUND.sub(new, text)
 
 
-def redacted(text: Column, key: bytes = KEY) -> Column:
+def redacted(text: Column, key: bytes) -> Column:
     """struct(text, n): the text with pseudonyms and how many there are; a null text stays null, with 0."""
 
     @F.arrow_udf("struct<text string, n long>")
     def run(texts: pa.Array) -> pa.Array:
         new, n = [], []
-        for t in texts.to_pylist():
+        for t in texts:
             counts: dict[str, int] = {}
-            new.append(None if t is None else redact(t, key, counts))
+            new.append(redact(t.as_py(), key, counts) if t.is_valid else None)
             n.append(sum(counts.values()))
-        return pa.StructArray.from_arrays([pa.array(new, pa.string()), pa.array(n, pa.int64())], ["text", "n"])
+        found = pa.StructArray.from_arrays([pa.array(new, pa.string()), pa.array(n, pa.int64())], ["text", "n"])
+        trimmed()
+        return found
 
     return run(text.cast("string"))
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", key: bytes = KEY) -> DataFrame:
-    """docs with text_col replaced and a count n_pseudonyms, row by row: no shuffle, and repeated rows stay equal."""
-    rest = [F.col(c) for c in docs.columns if c not in (text_col, "n_pseudonyms")]
-    done = docs.select(*rest, redacted(F.col(text_col), key).alias("_new"))
-    return done.select(*(F.col("_new.text").alias(text_col) if c == text_col else F.col(c) for c in docs.columns if c != "n_pseudonyms"), F.col("_new.n").alias("n_pseudonyms"))
+def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
+    """docs with text_col replaced and a count n_pseudonyms (a column of that name is replaced), row by row: no shuffle, and repeated rows stay equal."""
+    small_batches(docs.sparkSession)
+    names = [c for c in docs.columns if c.lower() != "n_pseudonyms"]
+    # the columns of docs travel in one struct, so that none of them can clash
+    done = docs.select(F.struct(*(docs[f"`{c}`"] for c in names)).alias("doc"), redacted(docs[f"`{text_col}`"], checked(key)).alias("new"))
+    return done.select(*(F.col("new.text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in names), F.col("new.n").alias("n_pseudonyms"))

@@ -3,7 +3,8 @@
 A logistic model on byte and word statistics gives each document's evidence. Grouped aggregation sums
 the evidence by path and host; a path is shrunk toward its host and a host toward the global rate, by
 prior strengths that the method of moments takes from the groups themselves. A document's score is its
-own log odds plus the shift of its path's posterior from the global rate.
+own log odds plus the shift of its path's posterior from the global rate, where the sums of its path and
+host leave the document itself out, so that its evidence counts once.
 """
 
 from __future__ import annotations
@@ -17,12 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from .common import small_side, written
+from .common import small_batches, small_side, trimmed, written
 
 #: Labelled rows on which the document model is fitted: those of the smallest hashes of their ids.
 SAMPLE = 6_000
 #: Least and greatest prior strength, in documents.
 STRENGTH = (5.0, 1000.0)
+ADDED = ("quality_evidence", "quality_shift", "quality_score")
 PUNCTUATION = np.frombuffer(string.punctuation.encode(), np.uint8)
 
 
@@ -64,7 +66,7 @@ def fit(rows: np.ndarray, good: np.ndarray, ridge: float = 1.0, rounds: int = 25
 
 @F.arrow_udf(ArrayType(DoubleType()))
 def _features(text: pa.Array) -> pa.Array:
-    return pa.array([features(t or b"").tolist() for t in text.cast(pa.binary()).to_pylist()], pa.list_(pa.float64()))
+    return pa.array([features(t.as_py() or b"").tolist() for t in text.cast(pa.binary())], pa.list_(pa.float64()))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
@@ -81,8 +83,10 @@ def evidence(text: Column, model: Model) -> Column:
 
     @F.arrow_udf("double")
     def score(t: pa.Array) -> pa.Array:
-        rows = [features(x or b"") for x in t.cast(pa.binary()).to_pylist()]
-        return pa.array(model.log_odds(np.stack(rows)) if rows else [], pa.float64())
+        rows = [features(x.as_py() or b"") for x in t.cast(pa.binary())]
+        found = pa.array(model.log_odds(np.stack(rows)) if rows else [], pa.float64())
+        trimmed()
+        return found
 
     return score(text.cast("string"))
 
@@ -91,13 +95,32 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
-    """(host, path, log_odds) -> (host, path, shift) and the global rate: each path's posterior log odds less the global ones.
+def _probability(log_odds: Column) -> Column:
+    return 1 / (1 + F.exp(-log_odds))
+
+
+@dataclass
+class Sites:
+    """(host, path, n, s, n_host, s_host): documents and summed probabilities of each path and its host; the prior strengths and the global rate."""
+
+    paths: DataFrame
+    rate: float
+    k_host: float
+    k_path: float
+
+    def shift(self, own: Column | float = 0.0, one: int = 0) -> Column:
+        """A path's posterior log odds less the global ones; own probability and 1 leave a document out of the sums."""
+        host = (F.greatest(F.col("s_host") - own, F.lit(0.0)) + self.k_host * self.rate) / (F.col("n_host") - one + self.k_host)
+        post = (F.greatest(F.col("s") - own, F.lit(0.0)) + self.k_path * host) / (F.col("n") - one + self.k_path)
+        return _logit(post) - float(np.log(self.rate / (1 - self.rate)))
+
+
+def sites(scored: DataFrame) -> Sites:
+    """From (host, path, log_odds) of all documents.
 
     Sums have map-side combining, so a host with a third of all rows is no hot group; strengths come from a few sums.
     """
-    p = 1 / (1 + F.exp(-F.col("log_odds")))
-    paths = written(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(p).alias("s")), "quality-paths")
+    paths = written(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(_probability(F.col("log_odds"))).alias("s")), "quality-paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n_host"), F.sum("s").alias("s_host"))
     n, s = paths.agg(F.sum("n"), F.sum("s")).first()
     rate = min(max((s or 0.0) / (n or 1), 0.01), 0.99)
@@ -109,22 +132,25 @@ def posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
         return float(np.clip(rate * (1 - rate) / between - 1 if between > 0 else STRENGTH[1], *STRENGTH))
 
     k_host = strength(hosts, "n_host", "s_host", F.lit(rate))
-    host = (F.col("s_host") + k_host * rate) / (F.col("n_host") + k_host)
-    both = paths.withColumnRenamed("host", "h").join(hosts, F.col("h").eqNullSafe(F.col("host"))).withColumn("prior", host)
-    k_path = strength(both, "n", "s", F.col("prior"))
-    post = (F.col("s") + k_path * F.col("prior")) / (F.col("n") + k_path)
-    return both.select("host", "path", (_logit(post) - float(np.log(rate / (1 - rate)))).alias("shift")), rate
+    both = paths.withColumnRenamed("host", "h").join(hosts, F.col("h").eqNullSafe(F.col("host"))).select("host", "path", "n", "s", "n_host", "s_host")
+    prior = (F.col("s_host") + k_host * rate) / (F.col("n_host") + k_host)
+    return Sites(both, rate, k_host, strength(both, "n", "s", prior))
 
 
-def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with quality_evidence, quality_shift and quality_score (their sum, in log odds); a score below 0 rejects.
+def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """docs (of them the named columns, or all) with quality_evidence, quality_shift and quality_score (their sum, in log odds); a score below 0 rejects.
 
-    One row per row of docs, whose own columns stay. Null hosts and paths are groups of their own, null
-    texts are empty ones. Without labels every document's evidence is 0.
+    One row per row of docs, whose own columns stay; one called like an added column is replaced. Null hosts
+    and paths are groups of their own, null texts are empty ones. Without labels every document's evidence
+    is 0. The text model runs once over docs: its results are written with the columns asked for.
     """
+    small_batches(docs.sparkSession)
     model = train(docs, labels, id_col, text_col)
-    log_odds = evidence(docs[text_col], model)
-    sites, _ = posteriors(docs.select(host.alias("host"), path.alias("path"), log_odds.alias("log_odds")))
-    sites = small_side(written(sites.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("shift").alias("quality_shift")), "quality-sites"))
-    mine = docs.withColumns({"quality_evidence": log_odds})
-    return mine.join(sites, host.eqNullSafe(F.col("_host")) & path.eqNullSafe(F.col("_path"))).drop("_host", "_path").withColumn("quality_score", F.col("quality_evidence") + F.col("quality_shift"))
+    keep = [c for c in (docs.columns if columns is None else columns) if c.lower() not in ADDED]
+    # the columns of docs travel in one struct, so that none of them can clash
+    rows = written(docs.select(F.struct(*(docs[f"`{c}`"] for c in keep)).alias("doc"), host.alias("host"), path.alias("path"), evidence(docs[f"`{text_col}`"], model).alias("evidence")), "quality-rows")
+    found = sites(rows.select("host", "path", F.col("evidence").alias("log_odds")))
+    side = small_side(written(found.paths.withColumnsRenamed({"host": "of_host", "path": "of_path"}), "quality-sites"))
+    both = rows.join(side, F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path")))
+    both = both.withColumn("shift", found.shift(_probability(F.col("evidence")), 1))
+    return both.select("doc.*", F.col("evidence").alias(ADDED[0]), F.col("shift").alias(ADDED[1]), (F.col("evidence") + F.col("shift")).alias(ADDED[2]))
