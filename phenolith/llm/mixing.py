@@ -95,10 +95,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     size counts the words [^\\x20\\x09-\\x0D]+ (null text: 0); taken is size times the copies taken, 0 to
     cap of them. Null sources are one source, the last. Repeated rows are documents of their own.
     Reruns take the same documents: their order is a hash of id and seed. Groups of one source and
-    length are dealt into BUCKETS parts by hash, so no group of copies is ranked in one task.
+    length are dealt into BUCKETS parts by a hash of id and text, so neither a group of copies nor the
+    rows without an id are ranked in one task.
     """
-    size = F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    sized = written(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).isNull().alias("no_src"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("src"), size.alias("size")).withColumn("h", F.xxhash64(F.lit(seed), "id")).withColumn("b", F.pmod("h", F.lit(BUCKETS)).cast("int")), "mix-sized")
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    size = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    rows = docs.select(docs[id_col].cast("long").alias("id"), docs[source_col].isNull().alias("no_src"), F.coalesce(docs[source_col].cast("string"), F.lit("")).alias("src"), size.alias("size"), F.xxhash64(text).alias("text_hash"))
+    sized = written(rows.withColumn("h", F.xxhash64(F.lit(seed), "id")).withColumn("b", F.pmod(F.xxhash64("h", "text_hash"), F.lit(BUCKETS)).cast("int")), "mix-sized")
     per_bucket = written(sized.groupBy("no_src", "src", "size", "b").agg(F.count("*").alias("n")), "mix-counts")
     by_length = per_bucket.groupBy("no_src", "src", "size").agg(F.sum("n").alias("n"))
     target = targets(by_length.groupBy("no_src", "src").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, budget, cap)
@@ -113,7 +116,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     key = ["no_src", "src", "size"]
     before = F.sum("n").over(Window.partitionBy(*key).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     dealt = per_bucket.join(plans, key).withColumn("take", F.greatest(F.lit(0), F.least("n", F.col("extra") - before))).drop("n", "extra")
-    place = F.row_number().over(Window.partitionBy(*key, "b").orderBy("h", "id"))
+    place = F.row_number().over(Window.partitionBy(*key, "b").orderBy("h", "id", "text_hash"))
     copies = F.col("copies") + (F.col("place") <= F.col("take")).cast("long")
     found = sized.join(dealt, [*key, "b"]).withColumn("place", place).withColumn("copies", copies)
     return found.select("id", F.when(~F.col("no_src"), F.col("src")).alias("source"), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
@@ -121,6 +124,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", **options: object) -> DataFrame:
     """The rows of docs, all columns unchanged, each as often as mix() takes it. Rows that share an id (null too) are taken as often as the least taken of them."""
-    chosen = mix(docs, id_col, **options).groupBy("id").agg(F.min("copies").alias("_copies")).where("_copies > 0").withColumnRenamed("id", "_id")
-    copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return docs.join(chosen, docs[id_col].eqNullSafe(F.col("_id"))).select(*(docs[c] for c in docs.columns), copies.alias("_copy")).drop("_copy")
+    chosen = mix(docs, id_col, **options).groupBy("id").agg(F.min("copies").alias("copies")).where("copies > 0")
+    # the columns of docs travel in one struct, so that none of them can clash
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("doc"), docs[id_col].cast("long").alias("of"))
+    return rows.join(chosen, F.col("of").eqNullSafe(F.col("id"))).select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
