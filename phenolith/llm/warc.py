@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import lean, small_batches, small_side, written
 
 #: Content bytes of a frame, and compressed bytes of a bundle, at which the next one begins.
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 4 << 20
@@ -113,16 +113,21 @@ class Bundle:
 
 def deduplicated(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """(page_id, url, payload, sha1, refers_to): null html is empty; refers_to is the smallest page of the equal payloads, null for that page itself and for payloads below least_bytes."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload")).withColumn("sha1", F.sha1("payload"))
-    # minima are joined back, so pages of one payload are never one group
-    first = rows.groupBy("sha1").agg(F.min("page_id").alias("first")).withColumnRenamed("sha1", "of")
-    other = (F.col("first") != F.col("page_id")) | (F.col("page_id").isNull() & F.col("first").isNotNull())
-    return rows.join(first, rows.sha1 == first.of).select("page_id", "url", "payload", "sha1", F.when(other & (F.octet_length("payload") >= least_bytes), F.col("first")).alias("refers_to"))
+    rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), F.encode(F.coalesce(pages["html"].cast("string"), F.lit("")), "UTF-8").alias("payload")).withColumn("sha1", F.sha1("payload"))
+    # payloads are equal if length and two digests are; texts stay where they are if the repeated ones are few
+    same = {"n": F.octet_length("payload"), "sha1": F.col("sha1"), "x": F.xxhash64("payload")}
+    first = rows.groupBy(*(v.alias(f"of_{k}") for k, v in same.items())).agg(F.min("page_id").alias("first"), F.count("*").alias("times")).where("times > 1 and first is not null").drop("times")
+    first = small_side(written(first, "warc-first"))
+    joined = rows.join(first, [v == F.col(f"of_{k}") for k, v in same.items()], "left")
+    other = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
+    return joined.select("page_id", "url", "payload", "sha1", F.when(other & (F.octet_length("payload") >= least_bytes), F.col("first")).alias("refers_to"))
 
 
 def write_bundles(pages: DataFrame, least_bytes: int = 0, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """pages (page_id, url, html) -> (content binary), one row per bundle. Repeated rows each give a record; no pages give no bundle."""
+    small_batches(pages.sparkSession)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = lambda b: pa.RecordBatch.from_arrays([pa.array([b.finish()], pa.binary())], ["content"])
         bundle = Bundler(frame_bytes)
