@@ -1,40 +1,42 @@
 """Removal of repeated byte strings by prefix-free parsing.
 
-Rolling-hash triggers cut every text into overlapping phrases. A trigger is the least hash of eight
-bytes among WINDOW window starts, so it depends on the bytes of a repeated string alone, each string
-of `length` bytes holds one, and equal strings have theirs at the same place. A phrase is what the
-strings of one trigger cover together. The dictionary is the set of distinct phrases with their
-numbers of occurrences, and its order is that of digests: what is asked of corpus order is only which
-strings of `length` bytes are neighbours with nothing between them, that is, equal.
+Rolling-hash triggers cut every text into phrases. A trigger is the least hash of eight bytes among
+WINDOW window starts, so it depends on the bytes of a repeated string alone, each string of `length`
+bytes holds one, and equal strings have theirs at the same place. The dictionary has what precedes each
+trigger, the parse what follows it: a string is a suffix of a dictionary phrase and then the beginning
+of a parse suffix. A row stands for all strings of one trigger, and rows that are equal are kept once.
 
 Strings of one trigger share the bytes right after it (the stem). Only triggers whose stem occurs
-again can begin a repeat; of these, phrases that occur again are repeated as a whole, which settles
-the inside of every copy. What is left are the ends of copies: there each distinct phrase of a stem
-is taken apart, once, into its strings (the suffixes of the dictionary), and these are counted.
+again can begin a repeat; of these, rows that occur again are repeated as a whole, which settles
+the inside of every copy. What is left are the ends of copies. There the suffix array of the parse (rows
+in order of what follows the trigger, and the common prefixes of neighbours) and that of the dictionary
+(rows in order of what precedes it, read backwards, and the same of neighbours) are combined into
+corpus order, offset by offset: strings are equal where both orders have no break at their depth.
+Suffixes are compared as far as `length` bytes, as nothing deeper is asked for. Stems are dealt over
+tasks; one of very many rows is dealt by bands of offsets and counted by what the bands hold.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
+from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from .common import packed, shuffle_parts, written
+from .common import lean, packed, shuffle_parts, small_batches, written
 
 LENGTH, GRAM = 200, 8
 #: Starts among which a trigger is chosen, and starts of a text that are handled at once.
 WINDOW, SEGMENT = 160, 1 << 18
 PLACE_BITS = np.uint64(20)
-#: Bits of a stem's digest, and distinct phrases up to which a stem is handled in one task.
-STEM_MASK, FEW = (1 << 48) - 1, 2_000
+#: Bits of a stem's digest, distinct rows up to which a stem is handled in one task, rows that are ordered at once, and offsets of a band.
+STEM_MASK, FEW, ORDERED, BAND = (1 << 48) - 1, 2_000, 16_384, 16
+#: A row's place in its text: the first start, the trigger's distance from it, and how many more starts there are.
+FIRST, LEAD, MORE = 20, 10, (1 << 10) - 1
 
 
 def triggers(text: bytes, length: int = LENGTH, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,9 +76,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _phrases(rows: DataFrame, length: int, window: int, only_stems: bool) -> DataFrame:
-    """(stem, phrase, key, at): a row per trigger; at packs the first start and how many more there are."""
+    """(stem, phrase, key, at): a row per trigger, phrase being a digest of all that its strings cover."""
     stem = length - window + 1
+    small_batches(rows.sparkSession)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             stems, wholes, keys, ats = [], [], [], []
@@ -86,7 +90,7 @@ def _phrases(rows: DataFrame, length: int, window: int, only_stems: bool) -> Dat
                 stems += [xxh3_64_intdigest(text[a : a + stem]) & STEM_MASK for a in trigger.tolist()]
                 if not only_stems:
                     wholes += [xxh3_64_intdigest(text[a : z + length], z - a) for a, z in zip(first.tolist(), last.tolist(), strict=True)]
-                    ats.append(first << 20 | last - first)
+                    ats.append(first << FIRST | trigger - first << LEAD | last - first)
                     keys.append(np.full(len(first), key))
                 if len(stems) >= 200_000:
                     yield out(stems, wholes, keys, ats)
@@ -104,76 +108,163 @@ def _phrases(rows: DataFrame, length: int, window: int, only_stems: bool) -> Dat
 def _cut_out(rows: DataFrame, taken: DataFrame, length: int) -> DataFrame:
     """taken (stem, key, at, alone, many) with the bytes that each phrase covers."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
         for b in batches:
             for k in range(b.num_rows):
                 text = press.decompress(b.column(1)[k].as_py())
                 parts = b.column(2)[k].values
-                at = parts.field("at").to_pylist()
-                cut = [text[x >> 20 : (x >> 20) + (x & (1 << 20) - 1) + length] for x in at]
-                key = pa.array([b.column(0)[k].as_py()] * len(at), pa.int64())
+                cut = [text[x >> FIRST : (x >> FIRST) + (x & MORE) + length] for x in parts.field("at").to_pylist()]
+                key = pa.array([b.column(0)[k].as_py()] * len(cut), pa.int64())
                 yield pa.RecordBatch.from_arrays([parts.field("stem"), key, parts.field("at"), parts.field("alone"), parts.field("many"), pa.array(cut, pa.binary())], ["stem", "key", "at", "alone", "many", "phrase"])
 
     by_key = taken.groupBy("key").agg(F.collect_list(F.struct("stem", "at", "alone", "many")).alias("parts"))
     return packed(rows).join(by_key, "key").select("key", "z", "parts").mapInArrow(run, "stem long, key long, at long, alone boolean, many boolean, phrase binary")
 
 
-def _few(phrases: DataFrame, length: int) -> DataFrame:
+def suffix_array(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of bytes in order: their numbers, and for each but the first the bytes it has in common with the one before."""
+    words = np.ascontiguousarray(np.pad(rows, ((0, 0), (0, -rows.shape[1] % 8)))).view(">u8")
+    order = np.lexsort(words.T[::-1])
+    ranked = rows[order]
+    differ = ranked[1:] != ranked[:-1]
+    return order, np.where(differ.any(1), differ.argmax(1), rows.shape[1])
+
+
+def repeated_offsets(phrases: list[bytes], lead: np.ndarray, more: np.ndarray, length: int, window: int) -> np.ndarray:
+    """For each phrase (bytes around its trigger, which is lead bytes in) and start 0 to more: whether another phrase holds the string there, its trigger at the same place."""
+    n = len(phrases)
+    after, before = np.zeros((n, length), np.uint8), np.zeros((n, window), np.uint8)
+    for k, (p, at) in enumerate(zip(phrases, lead.tolist(), strict=True)):
+        own = np.frombuffer(p, np.uint8)
+        after[k, : len(own) - at] = own[at:]
+        before[k, :at] = own[:at][::-1]
+    parse, parse_common = suffix_array(after)
+    dictionary, dictionary_common = suffix_array(before)
+
+    def classes(order: np.ndarray, common: np.ndarray, depth: int) -> np.ndarray:
+        """Rows have the same number if they agree that deep."""
+        out = np.empty(n, np.int64)
+        out[order] = np.r_[0, np.cumsum(common < depth)]
+        return out
+
+    found = np.zeros((n, window), bool)
+    for offset in range(int((lead - more).min()), int(lead.max()) + 1):  # of the trigger in the string
+        has = np.flatnonzero((lead >= offset) & (lead - more <= offset))
+        place = classes(dictionary, dictionary_common, offset)[has] * n + classes(parse, parse_common, length - offset)[has]
+        order = np.argsort(place, kind="stable")
+        same = place[order][1:] == place[order][:-1]
+        twice = np.r_[False, same] | np.r_[same, False]
+        row = has[order[twice]]
+        found[row, lead[row] - offset] = True
+    return found
+
+
+def _runs(found: np.ndarray, keys: np.ndarray, firsts: np.ndarray) -> pa.RecordBatch:
+    """(key, at) of each run of flagged starts."""
+    edge = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    row, begin = np.nonzero(edge == 1)
+    end = np.nonzero(edge == -1)[1]
+    return pa.RecordBatch.from_arrays([pa.array(keys[row]), pa.array(firsts[row] + begin << FIRST | end - begin - 1)], ["key", "at"])
+
+
+def _few(phrases: DataFrame, length: int, window: int) -> DataFrame:
     """(key, at) of the strings of phrases that are alone and occur in another phrase of their stem, at most FEW in a stem."""
 
-    def found(stem: list) -> Iterator[tuple[int, int]]:
-        hashes = [[xxh3_64_intdigest(p[i : i + length]) for i in range(len(p) - length + 1)] for _, _, _, p in stem]
-        times = Counter(h for own in hashes for h in own)
-        for (key, at, alone, _), own in zip(stem, hashes, strict=True):
-            if alone:
-                yield from ((key, ((at >> 20) + i) << 20) for i, h in enumerate(own) if times[h] > 1)
+    def ordered(rows: list[tuple]) -> pa.RecordBatch:
+        keys, at, alone = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
+        found = repeated_offsets([r[4] for r in rows], at >> LEAD & MORE, at & MORE, length, window)
+        return _runs(found & (alone > 0)[:, None], keys, at >> FIRST)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for b in batches:
-                yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
-
-        out: list[tuple[int, int]] = []
-        for _, stem in groupby(rows(), key=itemgetter(0)):
-            out += found([x[1:] for x in stem])
-            if len(out) > 100_000:
-                yield batch(out)
-                out = []
-        if out:
-            yield batch(out)
-
-    def batch(out: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["key", "at"])
+        held: list[tuple] = []
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if len(held) >= ORDERED and row[0] != held[-1][0]:  # whole stems
+                    yield ordered(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield ordered(held)
 
     dealt = phrases.where("not many").repartition(shuffle_parts(phrases.sparkSession), "stem").sortWithinPartitions("stem")
     return dealt.select("stem", "key", "at", "alone", "phrase").mapInArrow(run, "key long, at long")
 
 
-def _many(phrases: DataFrame, length: int) -> DataFrame:
-    """The same for stems of any number of phrases, by a count of all strings."""
-    more = F.col("at").bitwiseAND((1 << 20) - 1)
-    each = phrases.where("many").select("key", "at", "alone", "phrase", F.explode(F.sequence(F.lit(0), more.cast("int"))).alias("i"))
-    strings = each.select(F.xxhash64(F.expr(f"substring(phrase, i + 1, {length})")).alias("string"), "key", (F.col("at") - more + F.shiftleft(F.col("i").cast("long"), 20)).alias("at"), "alone")
-    twice = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
-    return strings.where("alone").join(twice, "string", "left_semi").select("key", "at")
+def _bands(phrases: DataFrame, length: int, band: int) -> DataFrame:
+    """(key, at, alone, band, inner, all): a row for each phrase and band of offsets that it has strings of; digests of what all strings of the band share, and of all that they cover."""
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for key, at, alone, p in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                lead, more = at >> LEAD & MORE, at & MORE
+                for low in range((lead - more) // band * band, lead + 1, band):
+                    a, z = max(low, lead - more), min(low + band - 1, lead)
+                    inner = p[lead - low : lead - low - band + 1 + length]
+                    rows.append((key, at, alone, low, xxh3_128_digest(inner, low), xxh3_128_digest(p[lead - z : lead - a + length], a << 10 | z)))
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "at", "alone", "band", "inner", "all"])
+
+    return phrases.select("key", "at", "alone", "phrase").mapInArrow(run, "key long, at long, alone boolean, band int, inner binary, all binary")
+
+
+def _crowded(phrases: DataFrame, length: int, band: int) -> DataFrame:
+    """The same for stems of any number of phrases, by counts with map-side combining, in two steps.
+
+    Bands whose bytes occur again are repeated as a whole; in the others, only of phrases that share
+    the inner bytes of the band with another one are strings counted one by one.
+    """
+    crowded = phrases.where("many")
+    rows = written(_bands(crowded, length, band), "repeats-bands")
+    sorts = written(rows.groupBy("inner", "all").agg(F.count("*").alias("n"), F.min(F.struct("key", "at", "alone", "band")).alias("one")), "repeats-band-sorts")
+    lead, more = F.shiftright("at", LEAD).bitwiseAND(MORE), F.col("at").bitwiseAND(MORE)
+    low, high = F.greatest(F.col("band"), lead - more), F.least(F.col("band") + band - 1, lead)  # offsets
+    whole = rows.where("alone").join(sorts.where("n > 1").select("inner", "all"), ["inner", "all"], "left_semi")
+    whole = whole.select("key", (F.shiftleft(F.shiftright("at", FIRST) + lead - high, FIRST) + high - low).alias("at"))
+    shared = sorts.groupBy("inner").agg(F.count("*").alias("m")).where("m > 1").select("inner")
+    ends = sorts.join(shared, "inner", "left_semi").select("one.key", "one.at", "one.band", (F.col("one.alone") & (F.col("n") == 1)).alias("asks"))
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            digests, keys, ats, asking = [], [], [], []
+            for key, at, low, asks, p in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                lead, more = at >> LEAD & MORE, at & MORE
+                for i in range(max(0, lead - low - band + 1), min(more, lead - low) + 1):
+                    digests.append(xxh3_128_digest(p[i : i + length], lead - i))
+                    keys.append(key)
+                    ats.append((at >> FIRST) + i << FIRST)
+                    asking.append(asks)
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(keys, pa.int64()), pa.array(ats, pa.int64()), pa.array(asking, pa.bool_())], ["string", "key", "at", "asks"])
+
+    strings = crowded.select("key", "at", "phrase").join(ends, ["key", "at"]).select("key", "at", "band", "asks", "phrase").mapInArrow(run, "string binary, key long, at long, asks boolean")
+    strings = written(strings, "repeats-strings")
+    twice = written(strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string"), "repeats-twice")
+    return whole.unionAll(strings.where("asks").join(twice, "string", "left_semi").select("key", "at"))
 
 
 def repeated_starts(rows: DataFrame, length: int = LENGTH, window: int = WINDOW) -> DataFrame:
     """(key, t) -> (key, at): packed ranges of the starts of strings that also start elsewhere.
 
     Counts have map-side combining and are written before they are joined back: between two plain scans
-    Spark splits a hot key, so a passage in any share of the texts is no hot group. Digests are of 64 bits; phrases are compared within equal stems only.
+    Spark splits a hot key, so a passage in any share of the texts is no hot group. Rows are told apart by
+    digests of 64 bits within equal stems (of 48 bits), bands and strings by digests of 128 bits.
     """
     again = written(_phrases(rows, length, window, True).groupBy("stem").agg(F.count("*").alias("n")).where("n > 1").select("stem"), "repeats-stems")
     found = written(_phrases(rows, length, window, False).join(again, "stem", "left_semi"), "repeats-phrases")
     dictionary = written(found.groupBy("stem", "phrase").agg(F.count("*").alias("n"), F.min(F.struct("key", "at")).alias("one")), "repeats-dictionary")
-    whole = found.join(dictionary.where("n > 1").select("stem", "phrase"), ["stem", "phrase"], "left_semi").select("key", "at")
+    whole = found.join(dictionary.where("n > 1").select("stem", "phrase"), ["stem", "phrase"], "left_semi").select("key", F.col("at").bitwiseAND(~(MORE << LEAD)).alias("at"))
     several = dictionary.groupBy("stem").agg(F.count("*").alias("m"), F.count_if(F.col("n") == 1).alias("alone")).where("m > 1 and alone > 0").select("stem", (F.col("m") > FEW).alias("many"))
     several = written(several, "repeats-several")
     taken = dictionary.join(several, "stem").select("stem", "one.*", (F.col("n") == 1).alias("alone"), "many")
     phrases = written(_cut_out(rows, taken, length), "repeats-cut-out", compression="zstd")
-    return whole.unionAll(_few(phrases, length)).unionAll(_many(phrases, length))
+    ends = written(_few(phrases, length, window), "repeats-few").unionAll(written(_crowded(phrases, length, BAND), "repeats-crowded"))
+    return whole.unionAll(ends)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, window: int = WINDOW) -> DataFrame:
@@ -181,17 +272,18 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null texts are empty ones; repeated rows repeat one another's strings; texts below `length` bytes stay whole.
     """
-    if window + GRAM > length + 1 or window < 1:
+    if window + GRAM > length + 1 or window < 1 or length > MORE:
         raise ValueError("a string must hold every trigger candidate")
     rows = _keyed(docs, id_col, text_col)
     ranges = repeated_starts(rows, length, window).groupBy("key").agg(F.collect_list("at").alias("ats"))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                done = [cut(press.decompress(z), a) for z, a in zip(part.column(1).to_pylist(), part.column(2), strict=True)]
+                done = [cut(press.decompress(z.as_py()), a) for z, a in zip(part.column(1), part.column(2), strict=True)]
                 numbers = [pa.array(x, pa.int64()) for x in list(zip(*done, strict=True))[:3]]
                 yield pa.RecordBatch.from_arrays([part.column(0), *numbers, pa.array([d[3] for d in done], pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
@@ -200,8 +292,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             return len(text), 0, 0, text
         at = ats.values.to_numpy()
         depth = np.zeros(len(text) + 1, np.int64)
-        np.add.at(depth, at >> 20, 1)
-        np.add.at(depth, (at >> 20) + (at & (1 << 20) - 1) + length, -1)
+        np.add.at(depth, at >> FIRST, 1)
+        np.add.at(depth, (at >> FIRST) + (at & MORE) + length, -1)
         gone = np.cumsum(depth)[:-1] > 0
         return len(text), int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), np.frombuffer(text, np.uint8)[~gone].tobytes()
 
