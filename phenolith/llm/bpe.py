@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean, small_batches
+
 #: Characters with the Unicode property White_Space.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Ranges of characters that the regular expressions here call letters or numbers and the
@@ -132,9 +134,12 @@ class WordBpe:
         self.single_inner = np.array([self.inner[bytes([b])] for b in range(256)], np.int64)
         self.single_final = np.array([self.final[bytes([b])] for b in range(256)], np.int64)
         self._trie()
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop words and pairs met so far: the worker process may do other work next."""
         self.cache: dict[str, bytes] = {}
-        self.known = np.empty(0, np.int64)
-        self.valid = np.empty(0, bool)
+        self.known, self.valid = np.empty(0, np.int64), np.empty(0, bool)
 
     def _merged(self, word: bytes, at_end: bool = True) -> list[int]:
         """Exact merging: the pair of least rank first, of equal ranks the leftmost."""
@@ -358,14 +363,17 @@ def _runs(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 def _encoded(docs: DataFrame, id_col: str, text_col: str, vocabulary: str | None, schema: str, rows: Callable[[list[bytes]], list[pa.Array]]) -> DataFrame:
     """One worker a task, and batches that leave it as soon as they are encoded: its memory does not depend on Spark's batch size."""
+    small_batches(docs.sparkSession)
     sent = _Sent(docs.sparkSession, vocabulary or default_path())
     names = [x.split()[0] for x in schema.split(", ")]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(sent)
         for b in batches:
             for first, texts in _runs(b.column(1)):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(texts)), *rows(model.encode_batch(texts))], names)
+        model.forget()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, schema)
 
@@ -389,12 +397,13 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(id, ids) -> (id, ids, text): token strings joined by spaces, as the file names no decoder."""
     sent = _Sent(encoded.sparkSession, vocabulary or default_path())
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings = token_strings(json.loads(sent.value))
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                texts = [" ".join([strings[k] for k in np.frombuffer(x or b"", "<u4").tolist()]) for x in part.column(1).to_pylist()]
+                texts = [" ".join([strings[k] for k in np.frombuffer(x.as_py() or b"", "<u4").tolist()]) for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["id", "ids", "text"])
 
     return encoded.select("id", "ids").mapInArrow(run, "id long, ids binary, text string")

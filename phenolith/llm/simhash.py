@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, shuffle_parts, written
+from .common import lean, packed, shuffle_parts, small_batches, written
 from .components import connected_components
 
 SEED = 42
@@ -58,9 +58,12 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp long): one row per row of docs; null and wordless texts have fingerprint 0. Other columns are not read."""
 
+    small_batches(docs.sparkSession)
+
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t or b"", shingle) for t in b.column(1).cast(pa.binary()).to_pylist()), "<u8", b.num_rows)
+            fps = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in b.column(1).cast(pa.binary())), "<u8", b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view("<i8"))], ["id", "fp"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "id long, fp long")
@@ -170,10 +173,13 @@ def _common(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> tuple[
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).where("id is not null")
     ids = texts.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
 
+    small_batches(docs.sparkSession)
+
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b.column(0).cast(pa.binary()).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(_shingle_hashes(t or b"", shingle).view(np.int64))], ["h"])
+            for t in b.column(0).cast(pa.binary()):
+                yield pa.RecordBatch.from_arrays([pa.array(_shingle_hashes(t.as_py() or b"", shingle).view(np.int64))], ["h"])
 
     found = texts.join(F.broadcast(ids), "id").select("t").mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= COMMON)
     rows = found.orderBy(F.desc("count"), "h").limit(MOST).collect()
@@ -210,14 +216,16 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity
     """(id, whole, n, bits, keys): whole is a digest of the words, n counts the shingles, bits is their bitmap, keys are those of _prefix(). Rows without an id are left out."""
     common = _common(docs, id_col, text_col, shingle)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 whole, n, bits, keys = [], [], [], []
-                for t in part.column(1).cast(pa.binary()).to_pylist():
-                    whole.append(xxhash.xxh64_intdigest(b" ".join((t or b"").lower().split()), SEED))
-                    hashes = _shingle_hashes(t or b"", shingle)
+                for t in part.column(1).cast(pa.binary()):
+                    t = t.as_py() or b""
+                    whole.append(xxhash.xxh64_intdigest(b" ".join(t.lower().split()), SEED))
+                    hashes = _shingle_hashes(t, shingle)
                     n.append(len(hashes))
                     bits.append(_bitmap(hashes))
                     keys.append(_prefix(hashes, common, similarity).view(np.int64))
@@ -236,6 +244,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shi
     texts = docs.select(F.col(id_col).cast("long").alias("key"), F.lit(0).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     z = written(packed(texts).select("key", "z").join(ids, F.col("key") == ids["id"], "left_semi"), "similar-texts")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
         last: tuple[bytes, np.ndarray] = (b"", np.empty(0, np.uint64))
