@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -95,6 +96,12 @@ def intermediates() -> Iterator[None]:
             drop_written(df)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that have run: its cleaner waits for the driver's garbage collection, which may not come for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_written(df: DataFrame) -> None:
     """Delete the files of a table made by written() that no later plan reads."""
     path = getattr(df, "_written_at", None)

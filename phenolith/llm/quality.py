@@ -142,14 +142,17 @@ def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col
 
     One row per row of docs, whose own columns stay; one called like an added column is replaced. Null hosts
     and paths are groups of their own, null texts are empty ones. Without labels every document's evidence
-    is 0. The text model runs once over docs: its results are written with the columns asked for.
+    is 0. The text model runs once over docs, unless the texts are asked for: a second run of it costs less
+    than a second copy of all texts in the shared folder.
     """
     small_batches(docs.sparkSession)
     model = train(docs, labels, id_col, text_col)
     keep = [c for c in (docs.columns if columns is None else columns) if c.lower() not in ADDED]
     # the columns of docs travel in one struct, so that none of them can clash
-    rows = written(docs.select(F.struct(*(docs[f"`{c}`"] for c in keep)).alias("doc"), host.alias("host"), path.alias("path"), evidence(docs[f"`{text_col}`"], model).alias("evidence")), "quality-rows")
-    found = sites(rows.select("host", "path", F.col("evidence").alias("log_odds")))
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in keep)).alias("doc"), host.alias("host"), path.alias("path"), evidence(docs[f"`{text_col}`"], model).alias("evidence"))
+    once = written(rows if text_col not in keep else rows.drop("doc"), "quality-rows")
+    rows = once if text_col not in keep else rows
+    found = sites(once.select("host", "path", F.col("evidence").alias("log_odds")))
     side = small_side(written(found.paths.withColumnsRenamed({"host": "of_host", "path": "of_path"}), "quality-sites"))
     both = rows.join(side, F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path")))
     both = both.withColumn("shift", found.shift(_probability(F.col("evidence")), 1))

@@ -226,7 +226,7 @@ def _crowded(phrases: DataFrame, length: int, band: int) -> DataFrame:
     low, high = F.greatest(F.col("band"), lead - more), F.least(F.col("band") + band - 1, lead)  # offsets
     whole = rows.where("alone").join(sorts.where("n > 1").select("inner", "all"), ["inner", "all"], "left_semi")
     whole = whole.select("key", (F.shiftleft(F.shiftright("at", FIRST) + lead - high, FIRST) + high - low).alias("at"))
-    shared = sorts.groupBy("inner").agg(F.count("*").alias("m")).where("m > 1").select("inner")
+    shared = written(sorts.groupBy("inner").agg(F.count("*").alias("m")).where("m > 1").select("inner"), "repeats-shared")
     ends = sorts.join(shared, "inner", "left_semi").select("one.key", "one.at", "one.band", (F.col("one.alone") & (F.col("n") == 1)).alias("asks"))
 
     @lean

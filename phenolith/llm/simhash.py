@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, packed, shuffle_parts, small_batches, written
+from .common import drop_written, lean, packed, release, shuffle_parts, small_batches, small_side, written
 from .components import connected_components
 
 SEED = 42
@@ -240,9 +240,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
     """(src, dst) of the pairs whose shingle sets have that Jaccard similarity. Texts meet as Zstandard frames; a hot text is repeated by Spark's split of skewed joins."""
-    ids = written(pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "similar-ids")
+    ids = small_side(written(pairs.select(F.explode(F.array("src", "dst")).alias("of")).distinct(), "similar-ids"))
     texts = docs.select(F.col(id_col).cast("long").alias("key"), F.lit(0).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    z = written(packed(texts).select("key", "z").join(ids, F.col("key") == ids["id"], "left_semi"), "similar-texts")
+    z = written(packed(texts).select("key", "z").join(ids, F.col("key") == F.col("of"), "left_semi"), "similar-texts")
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,38 +267,48 @@ def similar_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     An exact candidate rule: shingles have one order, rare before common, and two texts at `similarity`
     share one of the first of each (prefix filtering); sizes and bitmaps rule out pairs that cannot reach it. In a
-    posting every text first meets two pivots, which differ by posting. Then those that are not yet in
+    posting every text first meets two pivots, the smallest id and one that differs by posting. Then those that are not yet in
     one component meet all the others of theirs, so that each pair of a posting is linked or compared;
     a join on the posting does that, which Spark splits where it is hot. Pairs are verified on the whole
     texts. Equal texts (by words) are one node before that.
     """
-    rows = written(_keyed(docs, id_col, text_col, shingle, similarity), "similar")
+    spark = docs.sparkSession
+
+    def step(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:
+        """df written; tables that nothing reads any more and shuffle files go, as each of them is as large as the texts."""
+        out = written(df, f"similar-{name}")
+        for old in done:
+            drop_written(old)
+        release(spark)
+        return out
+
+    rows = step(_keyed(docs, id_col, text_col, shingle, similarity), "rows")
     of = F.min_by(F.struct("n", "bits", "keys"), "id").alias("of")
-    first = written(rows.groupBy("whole").agg(F.min("id").alias("least"), of).select(F.col("least").alias("id"), "whole", "of.n", "of.bits", "of.keys"), "similar-distinct")
-    every, sets = first.select("id", F.explode("keys").alias("key")), first.select("id", "n", "bits")
-    by = F.struct(F.xxhash64("id", "key").alias("h"), "id")
-    ends = written(every.groupBy("key").agg(F.min(by).alias("lo"), F.max(by).alias("hi")).where("lo.id <> hi.id").select("key", F.array("lo.id", "hi.id").alias("pivots")), "similar-postings")
-    posts = written(every.join(ends, "key"), "similar-posts")
+    first = step(rows.groupBy("whole").agg(F.min("id").alias("least"), of).select(F.col("least").alias("id"), "whole", "of.n", "of.bits", "of.keys"), "distinct")
+    copies = step(rows.join(first.select("whole", F.col("id").alias("least")), "whole").where("id <> least").select(F.col("id").alias("src"), F.col("least").alias("dst")), "copies", rows)
+    sets = step(first.select("id", "n", "bits"), "sets")
+    every = first.select("id", F.explode("keys").alias("key"))
+    by = F.struct(F.hash("id", "key").alias("h"), "id")
+    ends = step(every.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lo"), F.max(by).alias("hi")).where("m > 1").select("key", F.array("lo", "hi.id").alias("pivots")), "postings")
+    posts = step(every.join(ends, "key"), "posts", first, ends)
     met = posts.select("id", F.explode("pivots").alias("o")).where("id <> o").select(F.greatest("id", "o").alias("src"), F.least("id", "o").alias("dst")).distinct()
     one, other = (sets.select(F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits")) for x in ("src", "dst"))
     may = _may_reach(F.col("src_n"), F.col("src_bits"), F.col("dst_n"), F.col("dst_bits"), similarity)
-    pairs = written(met.join(one, "src").join(other, "dst").where(may).select("src", "dst"), "similar-pairs")
-    links = written(_verified(pairs, docs, id_col, text_col, shingle, similarity), "similar-links")
+    pairs = step(met.join(one, "src").join(other, "dst").where(may).select("src", "dst"), "pairs")
+    links = step(_verified(pairs, docs, id_col, text_col, shingle, similarity), "links")
 
-    roots = written(connected_components(links), "similar-roots")
-    in_posts = written(posts.join(roots, posts.id == roots.node, "left").select("key", "id", F.coalesce("root", "id").alias("root")), "similar-labelled")
+    roots = step(connected_components(links), "roots")
+    in_posts = step(posts.join(roots, posts.id == roots.node, "left").select("key", "id", F.coalesce("root", "id").alias("root")), "labelled", posts, roots)
     sizes = in_posts.groupBy("key", "root").count()
     top = sizes.groupBy("key").agg(F.max(F.struct("count", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1").select("key", F.col("top.root").alias("top"))
-    still = written(in_posts.join(written(top, "similar-open"), "key").join(sets, "id"), "similar-still")
+    still = step(in_posts.join(step(top, "open"), "key").join(sets, "id"), "still", in_posts, sets)
     one, other = (still.select("key", "top", *(F.col(c).alias(f"{x}_{c}") for c in ("id", "root", "n", "bits"))) for x in ("a", "b"))
     # of two outside the largest component, the larger id asks
     asks = (F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("top")) | (F.col("a_id") > F.col("b_id")))
     may = _may_reach(F.col("a_n"), F.col("a_bits"), F.col("b_n"), F.col("b_bits"), similarity)
     open_pairs = one.where("a_root <> top").drop("top").join(other, "key").where(asks & may).select(F.greatest("a_id", "b_id").alias("src"), F.least("a_id", "b_id").alias("dst")).distinct()
-    more = written(open_pairs.join(pairs, ["src", "dst"], "left_anti"), "similar-pairs")
-    late = written(_verified(more, docs, id_col, text_col, shingle, similarity), "similar-links")
-
-    copies = rows.join(first.select("whole", F.col("id").alias("least")), "whole").where("id <> least").select(F.col("id").alias("src"), F.col("least").alias("dst"))
+    more = step(open_pairs.join(pairs, ["src", "dst"], "left_anti"), "more-pairs", still, pairs)
+    late = step(_verified(more, docs, id_col, text_col, shingle, similarity), "more-links", more)
     return connected_components(links.unionAll(late).unionAll(copies))
 
 
