@@ -67,7 +67,9 @@ def negated(low: Column, terms: Column) -> Column:
 
 def points(low: Column, terms: Column, n_methods: Column) -> Column:
     """What a sentence is worth before it is weakened, negated or interfered with."""
-    verbs = F.when(found(low, rf"\b(?:{'|'.join(STRONG_VERBS)})"), sum(found(low, rf"\b{v}").cast("int") for v in STRONG_VERBS)).otherwise(0)
+    # most sentences hold one verb at most: the list is gone through for the others only
+    hits = F.regexp_count(low, F.lit(rf"(?iU)\b(?:{'|'.join(STRONG_VERBS)})"))
+    verbs = F.when(hits >= 2, sum(found(low, rf"\b{v}").cast("int") for v in STRONG_VERBS)).otherwise(hits)
     plus = lambda c, n: F.when(c, n).otherwise(0)
     return (
         plus(F.size(terms) > 0, 2) + plus(verbs >= 1, 3) + plus(verbs >= 2, 1)

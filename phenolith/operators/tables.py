@@ -19,6 +19,12 @@ def lookup(df: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt over all cores if it comes in fewer partitions, for work that costs far more than the shuffle; large tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def last_by(df: DataFrame, key: str, order: str, *columns: str) -> DataFrame:
     """One row per key: that of the greatest order (a later row overwrites an earlier one)."""
     return df.groupBy(key).agg(F.max_by(F.struct(*columns), F.col(order)).alias("_last")).select(key, "_last.*")
@@ -42,7 +48,7 @@ def gene_id(attribute: Column, plain: Column, uid: Column) -> Column:
 
 
 def genotype(genes: DataFrame, assemblies: DataFrame, gene: str, taxon: str = "Bacteria", level: str = "Reference") -> DataFrame:
-    """Genomes that have a gene: its symbol equals the name (a missing one counts as the name), its
+    """Genomes that have a gene: its symbol equals the name (a missing one counts as the name, for records found by their name), its
     description names no regulator, repressor, inhibitor or pseudogene, and its tax id has a selected
     assembly (of several the last). One row per accession, the first found, by organism name."""
     index = last_by(select_assemblies(assemblies, taxon, level).where("tax_id is not null").select("tax_id", "accession", "organism", "ord"), "tax_id", "ord", "accession", "organism")
@@ -80,8 +86,8 @@ def merge_genes(tables: list[DataFrame], panel: int = 8) -> DataFrame:
 
 
 def merge_evidence(tables: list[DataFrame], keys: tuple[str, ...] = ("pmid", "organism")) -> DataFrame:
-    """Union by name, the first row of each key (all columns where a key is missing), best values first. Column names are compared without case and outer spaces."""
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (t.withColumn("_table", F.lit(k)).withColumn("_row", F.monotonically_increasing_id()) for k, t in enumerate(tables)))
+    """Union by name, the first row of each key (all columns where a key is missing), best values first. Column names are compared without case and outer spaces. Rows are in the order of tables and, in each, of `_row` (its row number) where it has one."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (t.withColumn("_table", F.lit(k)).withColumn("_row", F.col("_row") if "_row" in t.columns else F.monotonically_increasing_id()) for k, t in enumerate(tables)))
     by_name = {c.strip().lower(): c for c in rows.columns}
     found = [by_name[k] for k in keys if k in by_name]
     rows = first_by(rows, [f"`{c}`" for c in found], "_table", "_row").drop("_table", "_row") if len(found) == len(keys) else rows.drop("_table", "_row").distinct()
@@ -89,6 +95,12 @@ def merge_evidence(tables: list[DataFrame], keys: tuple[str, ...] = ("pmid", "or
     return rows.orderBy(F.col(f"`{value}`").try_cast("double").desc_nulls_last(), *found) if value else rows
 
 
+def merge_counts(tables: list[DataFrame], merged: DataFrame) -> DataFrame:
+    """(rows_before, rows_after) of a merge."""
+    before = reduce(lambda a, b: a.unionAll(b), (t.select(F.lit(1)) for t in tables)).agg(F.count("*").alias("rows_before"))
+    return before.crossJoin(merged.agg(F.count("*").alias("rows_after")))  # a row each
+
+
 def tax_ids(lines: DataFrame, id_col: int = 2) -> DataFrame:
     """Distinct tax ids in `;` lists of tab-separated lines; comments, blank and short lines have none."""
     parts = F.split("value", "\t", -1)

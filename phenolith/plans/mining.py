@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import evidence as ev
 from ..functions import metrics, organisms, text
 from ..lexicons import ACCESSIONS, CLONING_HOSTS, EVIDENCE_COLUMNS, GENERA, GENOME_WORDS, KEYWORDS, Phenotype, phenotype
+from ..operators.tables import spread
 
 TAIL = " (Reported)"
 
@@ -41,13 +42,18 @@ class Options:
         object.__setattr__(self, "phenotype", phenotype(self.query, self.category if self.category in KEYWORDS else None))
 
 
+def chosen(articles: DataFrame, o: Options) -> DataFrame:
+    """The articles of the years asked for, of them the newest max_articles (None: all); pmid decides ties."""
+    rows, year = articles, F.col("pub_year").try_cast("int")
+    if o.year_from or o.year_to:
+        rows = rows.where(year.between(o.year_from or 1800, o.year_to or 3000))
+    return rows.orderBy(year.desc_nulls_last(), "pmid").limit(o.max_articles) if o.max_articles else rows
+
+
 def select_articles(articles: DataFrame, o: Options) -> DataFrame:
-    """The newest articles with the query in title or text, about bacteria, in the years asked for."""
+    """The search: chosen() of the articles with the query in title or text, about bacteria."""
     body = F.lower(F.concat_ws(" ", "title", "text"))
-    rows = articles.where(F.contains(body, F.lit(o.query.lower())) & F.contains(body, F.lit("bacteria")))
-    if o.year_from or o.year_to:
-        rows = rows.where(F.col("pub_year").try_cast("int").between(o.year_from or 1800, o.year_to or 3000))
-    return rows.orderBy(F.col("pub_year").try_cast("int").desc_nulls_last(), "pmid").limit(o.max_articles) if o.max_articles else rows
+    return chosen(articles.where(F.contains(body, F.lit(o.query.lower())) & F.contains(body, F.lit("bacteria"))), o)
 
 
 def prepared(articles: DataFrame, o: Options) -> DataFrame:
@@ -101,13 +107,14 @@ def reported_accessions(rows: DataFrame) -> DataFrame:
 
 
 def mine(articles: DataFrame, o: Options, taxonomy: DataFrame | None = None, assemblies: DataFrame | None = None) -> DataFrame:
-    """Evidence rows, in their fixed columns.
+    """Evidence rows of chosen() articles, in their fixed columns.
 
     taxonomy: (name, tax_id, superkingdom), needed to verify names; assemblies: (organism, accession),
     looked up where the article reports none. Articles are kept together by pmid: one shuffle for the
     best sentences, one for accessions, and lookups of distinct names by join.
     """
-    rows = prepared(articles, o)
+    articles = chosen(articles, o)
+    rows = prepared(spread(articles), o)
     b = best(scored_sentences(rows, o))
     none = F.lit(None)
     if o.negative_evidence:
@@ -142,6 +149,16 @@ def mine(articles: DataFrame, o: Options, taxonomy: DataFrame | None = None, ass
     return b.withColumns(columns).select(*EVIDENCE_COLUMNS)
 
 
+def preview(rows: DataFrame, n: int = 5) -> DataFrame:
+    """The first n of ordered() rows, with their place."""
+    top = ordered(rows).limit(n)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*evidence_order())))
+
+
+def evidence_order() -> list[Column]:
+    return [F.desc_nulls_last("performance_value"), F.desc_nulls_last("evidence_score"), F.col("pub_year").try_cast("double").desc_nulls_last(), F.asc_nulls_last("organism"), F.col("pmid").asc()]
+
+
 def ordered(rows: DataFrame) -> DataFrame:
     """By value, score and year (all descending), then organism; nulls last, pmid decides ties."""
-    return rows.orderBy(F.desc_nulls_last("performance_value"), F.desc_nulls_last("evidence_score"), F.col("pub_year").try_cast("double").desc_nulls_last(), F.asc_nulls_last("organism"), "pmid")
+    return rows.orderBy(*evidence_order())

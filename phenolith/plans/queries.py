@@ -53,7 +53,7 @@ def synth(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit = F.when(F.col("l_returnflag") == "A", UNIT["A"]).when(F.col("l_returnflag") == "N", UNIT["N"]).otherwise(UNIT["R"])
     amount = F.concat(F.col("l_quantity").cast("long").cast("string"), F.lit(" ± "), F.round(F.col("l_discount") * 100).cast("long").cast("string"))
     sentence = F.concat(name, F.lit(" "), pick(VERB, "l_linenumber"), F.lit(" "), amount, F.lit(" "), unit, F.lit(" IAA, confirmed by "), F.when(F.col("l_linestatus") == "F", ASSAY["F"]).otherwise(ASSAY["O"]), F.lit("."))
-    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("ord"), F.col("l_suppkey").alias("supp"), F.col("l_quantity").alias("qty"), name.alias("organism"), sentence.alias("text"))
+    return ops.spread(table(spark, sf_dir, "lineitem")).select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("ord"), F.col("l_suppkey").alias("supp"), F.col("l_quantity").alias("qty"), name.alias("organism"), sentence.alias("text"))
 
 
 IAA = phenotype("IAA production")

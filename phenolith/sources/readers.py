@@ -35,15 +35,16 @@ def parse_articles(rows: DataFrame, xml_col: str = "xml") -> DataFrame:
     )
 
 
-def parse_full_texts(rows: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """(pmc_id, xml) -> (pmc_id, full_text): the sections whose titles speak of results, methods, data or accessions, their markers first, then all their paragraphs in document order. Mining reads sentences, so paragraphs need not stand by their markers."""
+def parse_full_texts(rows: DataFrame, xml_col: str = "xml", id_col: str = "pmc_id") -> DataFrame:
+    """(pmc_id, xml) -> (pmc_id, full_text): the sections whose titles speak of results, methods, data or accessions, in document order, each a marker and then all its paragraphs; those of a wanted section inside another one are repeated with it."""
     lower = "translate(title, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    wanted = " or ".join(f"contains({lower}, '{w}')" for w in SECTION_WORDS)
+    wanted = f"//sec[{' or '.join(f"contains({lower}, '{w}')" for w in SECTION_WORDS)}]"
     x = F.col(xml_col)
-    heads = F.xpath(x, F.lit(f"//sec[{wanted}]/title{LEAD}"))
-    body = F.xpath(x, F.lit(f"//sec[{wanted}]//p{LEAD}"))
-    marked = F.transform(heads, lambda t: F.concat(F.lit("--- SECTION: "), t, F.lit(" ---")))
-    return well_formed(rows, xml_col).select("pmc_id", F.array_join(F.concat(marked, body), "\n").alias("full_text"))
+    fine = well_formed(rows, xml_col).select(id_col, x.alias(xml_col), F.xpath_int(x, F.lit(f"count({wanted})")).alias("n"))
+    # the sections are numbered, and each is asked for its own: paths must be literals, so numbers are explicit up to the most there are
+    most = fine.agg(F.max("n")).first()[0] or 0  # a number
+    parts = [F.when(F.col("n") >= k, F.concat(F.array(F.concat(F.lit("--- SECTION: "), F.array_join(F.slice(F.xpath(x, F.lit(f"({wanted})[{k}]/title{LEAD}")), 1, 1), ""), F.lit(" ---"))), F.xpath(x, F.lit(f"({wanted})[{k}]//p{LEAD}")))).otherwise(F.array().cast("array<string>")) for k in range(1, most + 1)]
+    return fine.select(id_col, F.array_join(F.concat(*parts) if parts else F.array().cast("array<string>"), "\n").alias("full_text"))
 
 
 def read_csv_tables(spark: SparkSession, paths: list[str], needs: str | None = None, leave_out: str | None = None) -> list[DataFrame]:
