@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import any_of, stripped
@@ -31,9 +31,10 @@ def last_by(df: DataFrame, key: str, order: str, *columns: str) -> DataFrame:
 
 
 def first_by(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
-    """The first row of each key; null keys are equal to one another."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_place", F.row_number().over(w)).where("_place = 1").drop("_place")
+    """The first row of each key, by a grouped minimum with map-side combining, so that a key of very many rows is no hot group; null keys are equal to one another."""
+    rest = [c for c in df.columns if c not in keys]
+    first = df.groupBy(*(f"`{k}`" for k in keys)).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in rest)), F.struct(*order)).alias("_first"))
+    return first.select(*(F.col(f"`{c}`") if c in keys else F.col(f"_first.`{c}`").alias(c) for c in df.columns))
 
 
 def select_assemblies(assemblies: DataFrame, taxon: str = "Bacteria", level: str = "Reference") -> DataFrame:
@@ -90,7 +91,7 @@ def merge_evidence(tables: list[DataFrame], keys: tuple[str, ...] = ("pmid", "or
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (t.withColumn("_table", F.lit(k)).withColumn("_row", F.col("_row") if "_row" in t.columns else F.monotonically_increasing_id()) for k, t in enumerate(tables)))
     by_name = {c.strip().lower(): c for c in rows.columns}
     found = [by_name[k] for k in keys if k in by_name]
-    rows = first_by(rows, [f"`{c}`" for c in found], "_table", "_row").drop("_table", "_row") if len(found) == len(keys) else rows.drop("_table", "_row").distinct()
+    rows = first_by(rows, found, "_table", "_row").drop("_table", "_row") if len(found) == len(keys) else rows.drop("_table", "_row").distinct()
     value = by_name.get("performance_value")
     return rows.orderBy(F.col(f"`{value}`").try_cast("double").desc_nulls_last(), *found) if value else rows
 

@@ -201,8 +201,7 @@ def q_id_list_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
 def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a grouped minimum with map-side combining, so copies are not gathered in a window
-    return table(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("h")).agg(F.min(F.struct("doc_id", "source")).alias("d")).select("d.*")
+    return ops.first_by(table(spark, sf_dir, "documents").select("doc_id", "source", F.sha2("text", 256).alias("h")), ["h"], "doc_id").drop("h")
 
 
 @query("SELECT DISTINCT lang, source FROM documents")
@@ -213,6 +212,7 @@ def q_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey AS id, o_orderstatus AS status, NULL::VARCHAR AS kind FROM orders UNION ALL BY NAME SELECT event_type AS kind, event_id AS id FROM events")
 def q_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    # the union that ops.merge_evidence begins with
     return a.unionByName(table(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), F.col("event_id").alias("id")), allowMissingColumns=True)
 
 
