@@ -22,7 +22,7 @@ from .common import lean, small_side, written
 #: Rows of the sample on which the index is fitted: those of the smallest hashes of their ids.
 SAMPLE = 20_000
 #: Most lists, parts of a code, values of a part, least rows reranked in a block, and the recall for which probes are calibrated.
-LISTS, PARTS, WORDS, RERANK, RECALL = 1024, 16, 256, 60, 0.97
+LISTS, PARTS, WORDS, RERANK, RECALL = 1024, 16, 256, 600, 0.97
 #: Most rows of a block, bytes of its vectors, and queries that meet it in one group.
 BLOCK, BLOCK_BYTES, CHUNK = 16_384, 32 << 20, 4_096
 

@@ -195,6 +195,19 @@ def test_ann(spark):
     assert ann.search(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_ann_recall_without_clusters(spark):
+    x = np.random.default_rng(14).standard_normal((6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = ann.search(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>"), F.col("id") % 60 == 0).toPandas()
+    near = got.groupby("query_id").vec_id.apply(set)
+    hit = 0
+    for q in range(0, 6000, 60):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(set(np.argsort(-s)[:20].tolist()) & near[q])
+    assert hit / 2000 >= 0.9
+
+
 def test_mixing(docs, none, spark):
     got = mixing.mix(docs).toPandas()
     sizes = {r["doc_id"]: len((r["text"] or "").encode().split()) for r in docs.collect()}
