@@ -206,6 +206,19 @@ def _bitmap(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def _wide(hashes: np.ndarray) -> bytes:
+    """The same as a bitmap that grows with the text, 1 to 2 bits a hash: BITMAP longs say nothing about texts of thousands of shingles. Its length is a power of two, so that one folds onto a shorter one."""
+    size = 1 << max(6, (len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % size, minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _differing(one: bytes, other: bytes) -> int:
+    """Bits in which two bitmaps of _wide() differ, the longer one folded: never more than the hashes that only one of the two texts has."""
+    x, y = (np.frombuffer(b, np.uint64).reshape(-1, min(len(one), len(other)) // 8) for b in (one, other))
+    return int(np.bitwise_count(np.bitwise_xor.reduce(x) ^ np.bitwise_xor.reduce(y)).sum())
+
+
 def _may_reach(n: Column, bits: Column, other_n: Column, other_bits: Column, similarity: float) -> Column:
     """Whether sizes and bitmaps leave room for that similarity: the larger is not too large, and the bits that differ are no more than the shingles that may."""
     differ = sum(F.bit_count(bits[k].bitwiseXOR(other_bits[k])) for k in range(BITMAP))
@@ -213,7 +226,7 @@ def _may_reach(n: Column, bits: Column, other_n: Column, other_bits: Column, sim
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
-    """(id, whole, n, bits, keys): whole is a digest of the words, n counts the shingles, bits is their bitmap, keys are those of _prefix(). Rows without an id are left out."""
+    """(id, whole, n, bits, wide, keys): whole is a digest of the words, n counts the shingles, bits and wide are their bitmaps, keys are those of _prefix(). Rows without an id are left out."""
     common = _common(docs, id_col, text_col, shingle)
 
     @lean
@@ -221,21 +234,36 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                whole, n, bits, keys = [], [], [], []
+                whole, n, bits, wide, keys = [], [], [], [], []
                 for t in part.column(1).cast(pa.binary()):
                     t = t.as_py() or b""
                     whole.append(xxhash.xxh64_intdigest(b" ".join(t.lower().split()), SEED))
                     hashes = _shingle_hashes(t, shingle)
                     n.append(len(hashes))
                     bits.append(_bitmap(hashes))
+                    wide.append(_wide(hashes))
                     keys.append(_prefix(hashes, common, similarity).view(np.int64))
                 ends = np.cumsum([0, *map(len, keys)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))
                 maps = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BITMAP, pa.int32()), pa.array(np.concatenate(bits)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array(whole, np.uint64).view(np.int64)), pa.array(n, pa.int64()), maps, lists], ["id", "whole", "n", "bits", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array(whole, np.uint64).view(np.int64)), pa.array(n, pa.int64()), maps, pa.array(wide, pa.binary()), lists], ["id", "whole", "n", "bits", "wide", "keys"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).where("id is not null")
-    return rows.mapInArrow(run, "id long, whole long, n long, bits array<long>, keys array<long>")
+    return rows.mapInArrow(run, "id long, whole long, n long, bits array<long>, wide binary, keys array<long>")
+
+
+def _screened(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (src, dst) whose wide bitmaps leave room for that similarity: these are a small part of the texts, which then need not meet."""
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(2).to_numpy() + b.column(3).to_numpy()
+            differ = np.fromiter((_differing(x.as_py(), y.as_py()) for x, y in zip(b.column(4), b.column(5), strict=True)), np.int64, b.num_rows)
+            yield b.select([0, 1]).filter(pa.array(differ <= (1 - similarity) / (1 + similarity) * n + 1e-6))
+
+    one, other = (sets.select(F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("wide").alias(f"{x}_wide")) for x in ("src", "dst"))
+    return pairs.join(one, "src").join(other, "dst").select("src", "dst", "src_n", "dst_n", "src_wide", "dst_wide").mapInArrow(run, "src long, dst long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
@@ -266,7 +294,7 @@ def similar_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(node, root) of the documents linked to another one by shingle sets of that similarity; root is the smallest id reached.
 
     An exact candidate rule: shingles have one order, rare before common, and two texts at `similarity`
-    share one of the first of each (prefix filtering); sizes and bitmaps rule out pairs that cannot reach it. In a
+    share one of the first of each (prefix filtering); sizes and bitmaps, short ones and then ones that grow with the text, rule out pairs that cannot reach it. In a
     posting every text first meets two pivots, the smallest id and one that differs by posting. Then those that are not yet in
     one component meet all the others of theirs, so that each pair of a posting is linked or compared;
     a join on the posting does that, which Spark splits where it is hot. Pairs are verified on the whole
@@ -283,10 +311,10 @@ def similar_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return out
 
     rows = step(_keyed(docs, id_col, text_col, shingle, similarity), "rows")
-    of = F.min_by(F.struct("n", "bits", "keys"), "id").alias("of")
-    first = step(rows.groupBy("whole").agg(F.min("id").alias("least"), of).select(F.col("least").alias("id"), "whole", "of.n", "of.bits", "of.keys"), "distinct")
+    of = F.min_by(F.struct("n", "bits", "wide", "keys"), "id").alias("of")
+    first = step(rows.groupBy("whole").agg(F.min("id").alias("least"), of).select(F.col("least").alias("id"), "whole", "of.n", "of.bits", "of.wide", "of.keys"), "distinct")
     copies = step(rows.join(first.select("whole", F.col("id").alias("least")), "whole").where("id <> least").select(F.col("id").alias("src"), F.col("least").alias("dst")), "copies", rows)
-    sets = step(first.select("id", "n", "bits"), "sets")
+    sets = step(first.select("id", "n", "bits", "wide"), "sets")
     every = first.select("id", F.explode("keys").alias("key"))
     by = F.struct(F.hash("id", "key").alias("h"), "id")
     ends = step(every.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lo"), F.max(by).alias("hi")).where("m > 1").select("key", F.array("lo", "hi.id").alias("pivots")), "postings")
@@ -295,20 +323,22 @@ def similar_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one, other = (sets.select(F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits")) for x in ("src", "dst"))
     may = _may_reach(F.col("src_n"), F.col("src_bits"), F.col("dst_n"), F.col("dst_bits"), similarity)
     pairs = step(met.join(one, "src").join(other, "dst").where(may).select("src", "dst"), "pairs")
-    links = step(_verified(pairs, docs, id_col, text_col, shingle, similarity), "links")
+    likely = step(_screened(pairs, sets, similarity), "likely")
+    links = step(_verified(likely, docs, id_col, text_col, shingle, similarity), "links", likely)
 
     roots = step(connected_components(links), "roots")
     in_posts = step(posts.join(roots, posts.id == roots.node, "left").select("key", "id", F.coalesce("root", "id").alias("root")), "labelled", posts, roots)
     sizes = in_posts.groupBy("key", "root").count()
     top = sizes.groupBy("key").agg(F.max(F.struct("count", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1").select("key", F.col("top.root").alias("top"))
-    still = step(in_posts.join(step(top, "open"), "key").join(sets, "id"), "still", in_posts, sets)
+    still = step(in_posts.join(step(top, "open"), "key").join(sets.select("id", "n", "bits"), "id"), "still", in_posts)
     one, other = (still.select("key", "top", *(F.col(c).alias(f"{x}_{c}") for c in ("id", "root", "n", "bits"))) for x in ("a", "b"))
     # of two outside the largest component, the larger id asks
     asks = (F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("top")) | (F.col("a_id") > F.col("b_id")))
     may = _may_reach(F.col("a_n"), F.col("a_bits"), F.col("b_n"), F.col("b_bits"), similarity)
     open_pairs = one.where("a_root <> top").drop("top").join(other, "key").where(asks & may).select(F.greatest("a_id", "b_id").alias("src"), F.least("a_id", "b_id").alias("dst")).distinct()
     more = step(open_pairs.join(pairs, ["src", "dst"], "left_anti"), "more-pairs", still, pairs)
-    late = step(_verified(more, docs, id_col, text_col, shingle, similarity), "more-links", more)
+    likely = step(_screened(more, sets, similarity), "more-likely", more, sets)
+    late = step(_verified(likely, docs, id_col, text_col, shingle, similarity), "more-links", likely)
     return connected_components(links.unionAll(late).unionAll(copies))
 
 

@@ -446,6 +446,19 @@ def test_similar_documents_against_all_pairs(spark, docs, none):
     assert kept.where("doc_id is null").count() == 1
 
 
+def test_wide_bitmaps_never_rule_out_a_similar_pair():
+    rng = np.random.default_rng(5)
+    for size in (1, 2, 63, 64, 65, 700, 9_000):
+        one = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        for kept, more in ((size, 0), (size, size // 4), (size - size // 5, 0), (size // 2, size // 2), (0, 4 * size)):
+            other = np.concatenate([one[:kept], rng.integers(0, 1 << 63, more).astype(np.uint64)])
+            differ = simhash._differing(simhash._wide(one), simhash._wide(other))
+            assert differ == simhash._differing(simhash._wide(other), simhash._wide(one))
+            assert differ <= size - kept + more
+            if size == 9_000 and kept == size // 2:  # a third alike: ruled out, unlike by 512 bits
+                assert differ > (len(one) + len(other)) / 9
+
+
 def test_similar_documents_on_a_template(spark):
     rng = np.random.default_rng(6)
     template, rows = [f"t{k}" for k in range(400)], []
