@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import evidence as ev
 from ..functions import metrics, organisms, text
-from ..lexicons import BAD_GENE_WORDS, CONFIRMATIONS, INVALID_SPECIES, STOP_WORDS, STRONG_VERBS, phenotype
+from ..lexicons import BAD_GENE_WORDS, CONFIRMATIONS, GENERA, INVALID_SPECIES, PLANT_GENERA, STOP_WORDS, STRONG_VERBS, phenotype
 from ..operators import tables as ops
 
 QUERIES: dict = {}
@@ -116,12 +116,19 @@ def q_sentence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.size(parts).cast("long").alias("n"))
 
 
-@query(f"""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '\\b([A-Z][a-z]+)[ \t\n]+([a-z0-9]+([.-][a-z0-9]+)?)\\b', 2)) AS species FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]'))
-SELECT doc_id, count(*) AS n, count(DISTINCT species) AS n_distinct FROM (SELECT * FROM m WHERE length(species) >= 3 AND NOT regexp_matches(species, '[^a-z]') AND species NOT IN ({quoted(INVALID_SPECIES + STOP_WORDS)})) GROUP BY doc_id""")
+# RE2's word boundaries and white space are ASCII's: other white space becomes a blank, other word characters an underscore, the rest an exclamation mark.
+ASCII_SQL = "regexp_replace(regexp_replace(regexp_replace(text, '[\\x{85}\\p{Z}]', ' ', 'g'), '[^\\x00-\\x7F\\p{L}\\p{M}\\p{Nd}\\p{Nl}\\p{Pc}]', '!', 'g'), '[^\\x00-\\x7F]', '_', 'g')"
+
+
+@query(f"""WITH m AS (SELECT doc_id, unnest(regexp_extract_all({ASCII_SQL}, '\\b[A-Z][a-z]+[ \t\n\x0B\f\r]+[a-z0-9]+(?:[.-][a-z0-9]+)?\\b')) AS m FROM documents),
+w AS (SELECT doc_id, regexp_extract(m, '^[A-Za-z]+') AS genus, regexp_replace(regexp_extract(m, '[a-z0-9.-]+$'), '^([a-z]+)[.-][0-9][0-9a-z]*$', '\\1') AS species FROM m)
+SELECT doc_id, count(*) AS n, count(DISTINCT genus || ' ' || species) AS n_distinct FROM w WHERE regexp_matches(species, '^[a-z]{{3,}}$') AND species NOT IN ({quoted(INVALID_SPECIES + STOP_WORDS)})
+  AND (genus IN ({quoted(GENERA)}) OR (genus NOT IN ({quoted(PLANT_GENERA)}) AND lower(genus) NOT IN ({quoted(STOP_WORDS)}) AND length(genus) >= 4 AND length(species) >= 4)) GROUP BY doc_id""")
 def q_binomial_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shape = r"\b([A-Z][a-z]+)[ \t\n]+([a-z0-9]+(?:[.-][a-z0-9]+)?)\b"
-    m = table(spark, sf_dir, "documents").where(~F.col("text").rlike(r"[^\x00-\x7F]")).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(shape), F.lit(2))).alias("species"))
-    return m.where((F.length("species") >= 3) & ~F.col("species").rlike("[^a-z]") & ~F.col("species").isin(INVALID_SPECIES + STOP_WORDS)).groupBy("doc_id").agg(F.count("*").alias("n"), F.count_distinct("species").alias("n_distinct"))
+    """Full names in every document, those that only look like one included."""
+    m = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(f"(?U){organisms.FULL}"), F.lit(0))).alias("m"))
+    names = m.select("doc_id", organisms.canonical(F.col("m"), unlisted=True).alias("name")).where("name is not null")
+    return names.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_distinct("name").alias("n_distinct"))
 
 
 @query()  # no SQL: RE2 has neither Unicode's word boundaries nor the look back for abbreviated names

@@ -136,3 +136,11 @@ def test_candidates_of_every_document(spark, tmp_path):
     got = {r["doc_id"]: (r["organisms"] or [], r["candidates"] or []) for r in e.queries()["q_organism_candidates"](spark, str(tmp_path)).collect()}
     assert got == {k: (names_by_hand(t, False), names_by_hand(t, True)) for k, t in enumerate(texts)}
     assert got[0][0] == ["Bacillus licheniformis", "Bacillus subtilis"] and "Pantoea agglomerans" in got[1][0]
+
+    import duckdb
+
+    binomials = {tuple(r) for r in e.queries()["q_binomial_candidates"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert binomials == set(con.execute(e.oracle_sql()["q_binomial_candidates"]).fetchall())
+    assert binomials == {(0, 1, 1), (1, 2, 2), (2, 2, 2), (4, 2, 2)}
