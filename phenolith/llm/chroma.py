@@ -4,8 +4,8 @@ Spectra are folded into twelve pitch classes a frame; filters on the integral im
 two bits each, packed into one integer a frame. An inverted index has the places of each integer. A query
 looks up its integers, each also with its least certain bits turned over, and every hit votes for an
 offset of a recording; offsets with enough votes are laid over the recording, and the bit errors decide.
-Integers with very many places (silence, say) do not vote: queries that consist of them for the most part
-are laid over all recordings at every offset, in blocks, instead.
+Integers with very many places (silence, say) do not vote. A query that looks up one of them is laid over all
+recordings that hold such integers at every offset, in blocks, instead, and over all others too where it consists of them for the most part.
 """
 
 from __future__ import annotations
@@ -231,8 +231,9 @@ def search(media: DataFrame, queries: DataFrame, id_col: str, audio_col: str, fl
     media and queries: (id, 16-bit PCM). Recordings of equal fingerprints are one class, named by its
     smallest id; n_copies says how many they are. Rows with a null id, and recordings shorter than WIDTH
     frames, take no part; repeated recordings are copies, repeated queries count once. A code with more
-    than `hot` places does not vote; a query that has such codes in half of its frames or more is laid
-    over all recordings at every offset.
+    than `hot` places does not vote, which touches the queries that look it up, and recordings that hold such
+    codes: these meet at every offset. A query that has such codes in half of its frames or more is laid
+    over all recordings so.
     """
     some = F.octet_length("codes") > 0
     classes = fingerprints(media, id_col, audio_col).where(some & F.col("id").isNotNull()).groupBy("codes").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
@@ -240,12 +241,20 @@ def search(media: DataFrame, queries: DataFrame, id_col: str, audio_col: str, fl
     asked = fingerprints(queries, id_col, audio_col, flips).where(some & F.col("id").isNotNull()).dropDuplicates(["id", "codes"])
     ask = written(asked.withColumn("query", F.monotonically_increasing_id()), "chroma-queries")
     crowded = written(_places(have, "codes", "id").groupBy("code").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("code"), "chroma-hot")
-    frames = (F.octet_length("codes") / 4).alias("frames")
-    steady = _places(ask, "codes", "query").join(crowded, "code", "left_semi").groupBy("query").agg(F.count("*").alias("n"))
-    steady = written(steady.join(ask.select("query", frames), "query").where("2 * n >= frames").select("query"), "chroma-steady")
-    found = _by_votes(have, ask.join(steady, "query", "left_anti"), crowded, flips, votes)
-    if not steady.isEmpty():
-        found = found.unionAll(_at_all_offsets(have, ask.join(steady, "query", "left_semi")))
+    if crowded.isEmpty():
+        found = _by_votes(have, ask, crowded, flips, votes)
+    else:
+        own = _places(ask, "codes", "query").join(crowded, "code", "left_semi").groupBy("query").agg(F.count("*").alias("n"))
+        touched = _places(ask, "looked_up", "query", 1 << flips).join(crowded, "code", "left_semi").select("query").distinct()
+        steady = F.coalesce(2 * F.col("n") >= F.octet_length("codes") / 4, F.lit(False)).alias("steady")
+        touched = written(touched.join(ask.select("query", "codes"), "query").join(own, "query", "left").select("query", "codes", steady), "chroma-touched")
+        holds = written(_places(have, "codes", "id").join(crowded, "code", "left_semi").select("id").distinct(), "chroma-holds")
+        some, rest = touched.where("not steady"), touched.where("steady")
+        by_votes = _by_votes(have, ask.join(rest, "query", "left_anti"), crowded, flips, votes)
+        settled = some.select("query", F.lit(True).alias("some")), holds.select(F.col("id").alias("class_id"), F.lit(True).alias("held"))
+        by_votes = by_votes.join(settled[0], "query", "left").join(settled[1], "class_id", "left").where("some is null or held is null")
+        names = [x.split()[0] for x in FOUND.split(", ")]
+        found = by_votes.select(names).unionAll(_at_all_offsets(have.join(holds, "id", "left_semi"), some)).unionAll(_at_all_offsets(have, rest))
     found = found.join(ask.select("query", F.col("id").alias("query_id")), "query").join(have.select(F.col("id").alias("class_id"), F.col("copies").alias("n_copies")), "class_id")
     return found.select("query_id", "class_id", "n_copies", "offset_frames", "votes", "overlap", "bit_error")
 

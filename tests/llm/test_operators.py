@@ -403,6 +403,25 @@ def test_chroma_of_steady_recordings(spark):
     assert {(r["query_id"], r["class_id"]) for r in few.collect()} == {(q, c) for q in (0, 4) for c in range(8)}
 
 
+def test_chroma_of_recordings_with_a_common_start(spark):
+    """Where codes do not vote, the queries that look them up meet the recordings that hold them at all offsets, few such codes or not."""
+    rng = np.random.default_rng(14)
+    jingle, size = (rng.standard_normal(24) / 8).tolist(), chroma.HOP
+    rows = [(k, jingle + (rng.standard_normal(40) / 8).tolist()) for k in range(24)] + [(100 + k, (rng.standard_normal(64) / 8).tolist()) for k in range(6)]
+    media = chroma.rendered(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    asked = []
+    for r in media.collect():  # part of the start as it is, then much noise
+        x = np.frombuffer(r["audio"], "<i2")[8 * size :].astype(float)
+        x[16 * size :] += 20_000 * rng.standard_normal(len(x) - 16 * size)
+        asked.append((r["id"], np.clip(x, -32768, 32767).astype("<i2").tobytes()))
+    asked = spark.createDataFrame(asked, "id long, audio binary")
+    row = lambda r, q: (r[q], r["class_id"], r["offset_frames"], r["votes"], r["overlap"], round(r["bit_error"], 9))
+    at_all = chroma._at_all_offsets(chroma.fingerprints(media, "id", "audio"), chroma.fingerprints(asked, "id", "audio").withColumnRenamed("id", "query"))
+    want = {row(r, "query") for r in at_all.collect() if max(r["query"], r["class_id"]) < 100}
+    got = [row(r, "query_id") for r in chroma.search(media, asked, "id", "audio", hot=10).collect()]
+    assert len(got) == len(set(got)) and {r for r in got if max(r[:2]) < 100} == want and {q for q, *_ in want} == set(range(24))
+
+
 def test_long_recordings_are_analysed_in_pieces(monkeypatch):
     rng = np.random.default_rng(13)
     pcm = (rng.standard_normal(chroma.HOP * 300) * 8000).astype("<i2").tobytes()
