@@ -32,6 +32,8 @@ KEPT = list(combinations(range(8), 6))
 PIECE = 1 << 16
 #: Texts in which common shingles are counted, the texts a common one is in at least, and how many are kept. They order the index only; any choice gives the same links.
 SAMPLE, COMMON, MOST = 5_000, 3, 100_000
+#: Part of the hashes, the lowest, that is counted in all texts: prefixes at 0.8 are filled from it, so a passage that few of SAMPLE texts hold stays out of the prefixes of long ones.
+COUNTED = 0.25
 #: Longs of the bitmap of a text's shingles; its size has no part in the result.
 BITMAP = 8
 
@@ -169,21 +171,31 @@ def _shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
 
 
 def _common(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes that COMMON or more of SAMPLE texts hold, in order, and in how many."""
+    """Shingle hashes that COMMON or more texts hold, in order, and in how many: the lowest COUNTED of them by all texts, the others by SAMPLE texts, scaled."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).where("id is not null")
     ids = texts.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
+    bound = np.uint64(int(COUNTED * 2**64))
 
     small_batches(docs.sparkSession)
 
-    @lean
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for t in b.column(0).cast(pa.binary()):
-                yield pa.RecordBatch.from_arrays([pa.array(_shingle_hashes(t.as_py() or b"", shingle).view(np.int64))], ["h"])
-
-    found = texts.join(F.broadcast(ids), "id").select("t").mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= COMMON)
-    rows = found.orderBy(F.desc("count"), "h").limit(MOST).collect()
-    hashes, n = np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["count"] for r in rows], np.int64)
+    def counted(texts: DataFrame, low: bool) -> tuple[np.ndarray, np.ndarray]:
+        @lean
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                some = [np.empty(0, np.uint64)]
+                for t in b.column(0).cast(pa.binary()):
+                    hashes = _shingle_hashes(t.as_py() or b"", shingle)
+                    at = np.searchsorted(hashes, bound)
+                    some.append((hashes[:at] if low else hashes[at:]).copy())
+                hashes, n = np.unique(np.concatenate(some), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+
+        found = texts.select("t").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
+        rows = found.orderBy(F.desc("n"), "h").limit(MOST).collect()
+        return np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.int64)
+
+    low, high = counted(texts, True), counted(texts.join(F.broadcast(ids), "id"), False)
+    hashes, n = np.concatenate([low[0], high[0]]), np.concatenate([low[1], high[1] * max(1, texts.count() // SAMPLE)])
     order = np.argsort(hashes)
     return hashes[order], n[order]
 

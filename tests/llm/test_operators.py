@@ -491,6 +491,17 @@ def test_similar_documents_on_a_template(spark):
     assert got == {k: k - k % 2 for k in range(60)}
 
 
+def test_a_passage_outside_the_sample_stays_out_of_prefixes(spark, monkeypatch):
+    """Else all long texts that hold it would meet, unlike as they are."""
+    monkeypatch.setattr(simhash, "SAMPLE", 20)
+    passage = " ".join(f"p{j}" for j in range(46))
+    texts = [" ".join(f"w{k}x{j}" for j in range(600)) + (f" {passage}" if k % 20 == 0 else "") for k in range(400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    common = simhash._common(rows, "doc_id", "text", 5)
+    held = Counter(h for t in texts for h in simhash._prefix(simhash._shingle_hashes(t.encode(), 5), common, 0.8).tolist())
+    assert max(held.values()) < simhash.COMMON
+
+
 @pytest.mark.parametrize("value", ["8.8.8.8", "1.1.1.1", "8.8.4.4", "a1b2c3d4e5f6a7b8" * 2, "A1B2C3D4E5F6A7B8" * 3, "abcdefabcdefabcd" * 2, "a@b.org", "GB82 WEST 1234 5698 7654 32", "(659) 555-3949", "+1 659 555 3949", "4845168114407329", "123-45-6789", "2024-02-29", "29.02.2024"])
 def test_pii_alone_in_a_text(value):
     alone, beside = pii.redact(f"see {value} there", KEY), pii.redact(f"see {value} there 10 a@", KEY)
