@@ -305,7 +305,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shi
 def similar_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(node, root) of the documents linked to another one by shingle sets of that similarity; root is the smallest id reached.
 
-    An exact candidate rule: shingles have one order, rare before common, and two texts at `similarity`
+    near_duplicates() gives the first pairs: each text and its component's smallest id. At `similarity` fingerprints may
+    differ in more than two bits, so the others come from an exact candidate rule: shingles have one order, rare before common, and two texts at `similarity`
     share one of the first of each (prefix filtering); sizes and bitmaps, short ones and then ones that grow with the text, rule out pairs that cannot reach it. In a
     posting every text first meets two pivots, the smallest id and one that differs by posting. Then those that are not yet in
     one component meet all the others of theirs, so that each pair of a posting is linked or compared;
@@ -331,7 +332,8 @@ def similar_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     by = F.struct(F.hash("id", "key").alias("h"), "id")
     ends = step(every.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("lo"), F.max(by).alias("hi")).where("m > 1").select("key", F.array("lo", "hi.id").alias("pivots")), "postings")
     posts = step(every.join(ends, "key"), "posts", first, ends)
-    met = posts.select("id", F.explode("pivots").alias("o")).where("id <> o").select(F.greatest("id", "o").alias("src"), F.least("id", "o").alias("dst")).distinct()
+    hashed = step(near_duplicates(docs, id_col, text_col).where("id <> component").select(F.col("id").alias("src"), F.col("component").alias("dst")), "simhash")
+    met = posts.select("id", F.explode("pivots").alias("o")).where("id <> o").select(F.greatest("id", "o").alias("src"), F.least("id", "o").alias("dst")).unionAll(hashed).distinct()
     one, other = (sets.select(F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits")) for x in ("src", "dst"))
     may = _may_reach(F.col("src_n"), F.col("src_bits"), F.col("dst_n"), F.col("dst_bits"), similarity)
     pairs = step(met.join(one, "src").join(other, "dst").where(may).select("src", "dst"), "pairs")

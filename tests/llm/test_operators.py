@@ -502,6 +502,17 @@ def test_a_passage_outside_the_sample_stays_out_of_prefixes(spark, monkeypatch):
     assert max(held.values()) < simhash.COMMON
 
 
+def test_similar_documents_meet_by_simhash_first(spark, monkeypatch):
+    """Without the other index, pairs within two bits are still linked, if they are similar enough."""
+    texts = [" ".join(f"w{k}x{j}" for j in range(1500)) + end for k in range(6) for end in ("", " one more", " another")]
+    fps = [simhash.fingerprint(t.encode()) for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(simhash, "_prefix", lambda hashes, *_: hashes[:0])
+    got = {r["node"]: r["root"] for r in simhash.similar_links(rows).collect()}
+    near = {k for k in range(18) if k % 3 and (fps[k] ^ fps[k - k % 3]).bit_count() <= 2}
+    assert len(near) >= 6 and near <= {k for k, r in got.items() if r < k} and all(r == k - k % 3 for k, r in got.items())
+
+
 @pytest.mark.parametrize("value", ["8.8.8.8", "1.1.1.1", "8.8.4.4", "a1b2c3d4e5f6a7b8" * 2, "A1B2C3D4E5F6A7B8" * 3, "abcdefabcdefabcd" * 2, "a@b.org", "GB82 WEST 1234 5698 7654 32", "(659) 555-3949", "+1 659 555 3949", "4845168114407329", "123-45-6789", "2024-02-29", "29.02.2024"])
 def test_pii_alone_in_a_text(value):
     alone, beside = pii.redact(f"see {value} there", KEY), pii.redact(f"see {value} there 10 a@", KEY)
