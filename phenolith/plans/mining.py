@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import evidence as ev
-from ..functions import metrics, organisms, text
-from ..lexicons import ACCESSIONS, CLONING_HOSTS, EVIDENCE_COLUMNS, GENERA, GENOME_WORDS, KEYWORDS, Phenotype, phenotype
+from ..functions import plain
+from ..lexicons import EVIDENCE_COLUMNS, GENERA, KEYWORDS, Phenotype, phenotype
 from ..operators.tables import spread
 
-TAIL = " (Reported)"
+#: A row of evidence_rows(): what an article says of an organism.
+PICK = "measured int, score int, first int, sent string, label string, metric string, value double, unit string, range string"
+LEND = "ix int, lend_label string, lend_sent string"
+REPORTED = "kind int, pos int, accession string"
+_TYPES = {"int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
 
 
 @dataclass(frozen=True)
@@ -56,85 +62,86 @@ def select_articles(articles: DataFrame, o: Options) -> DataFrame:
     return chosen(articles.where(F.contains(body, F.lit(o.query.lower())) & F.contains(body, F.lit("bacteria"))), o)
 
 
-def prepared(articles: DataFrame, o: Options) -> DataFrame:
-    """articles (pmid, pmc_id, title, text, pub_year, and full_text if there is any) with body, sents and names."""
+def _rows(schema: str) -> pa.Schema:
+    return pa.schema([(name, _TYPES[kind]) for name, kind in (c.split() for c in schema.split(", "))])
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+
+
+def _group(of: str, **renamed: str) -> Column:
+    """A struct of columns, null where the first of them is."""
+    names = [c.split()[0] for c in of.split(", ")]
+    return F.when(F.col(names[0]).isNotNull(), F.struct(*(F.col(n).alias(renamed.get(n, n)) for n in names)))
+
+
+def evidence_rows(articles: DataFrame, o: Options) -> DataFrame:
+    """What each article (pmid, text, and full_text if there is any) says of each organism: its best sentence, one to borrow an assay from, the accession it reports, and whether any sentence speaks for the organism."""
     full = F.col("full_text") if "full_text" in articles.columns else F.lit(None).cast("string")
     body = F.concat(F.coalesce("text", F.lit("")), F.when(F.coalesce(full, F.lit("")) != "", F.concat(F.lit(" "), full)).otherwise(""))
-    rows = articles.withColumn("raw", body)
-    rows = rows.withColumn("body", text.normalised(text.expanded(F.col("raw"), text.abbreviations(F.col("raw"))))).drop("raw")
-    return organisms.with_candidates(rows.withColumn("sents", text.sentences(F.col("body"))), "body", "names", o.discover_genera)
-
-
-def scored_sentences(rows: DataFrame, o: Options) -> DataFrame:
-    """A row per article, sentence and organism mentioned in it. What depends on the sentence alone is worked out before organisms are joined in."""
-    p, low = o.phenotype, F.col("low")
-    hosts = F.contains(F.lower("body"), F.lit("isolated"))
-    names = F.filter("names", lambda n: hosts | ~n.isin(CLONING_HOSTS))
-    s = rows.select("pmid", "names", names.alias("mine"), F.posexplode("sents").alias("ix", "sent")).where(F.size("mine") > 0)
-    s = ev.with_evidence(s, p).withColumn("plain", metrics.plain_low(F.col("sent")))
-    s = s.withColumns({"near": text.term_offsets(F.col("plain"), p.terms), "far": text.term_offsets(F.col("plain"), p.rivals)})
-    s = s.withColumn("found", metrics.candidates(F.col("plain"), F.col("near"), F.col("far"), p))
-    s = s.withColumn("cleaned", metrics.expand_powers(F.transform("found", lambda x: metrics.prepared(x["val"]))))
-    values = F.zip_with("found", "cleaned", lambda x, c: metrics.parsed(x["val"], c))
-    s = s.withColumns({"metric": F.when(F.size("found") > 0, F.array_join(F.array_distinct(F.transform("found", lambda x: x["val"])), "; ")), "parsed": F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(1))})
-    s = s.select("*", F.explode("mine").alias("organism")).where(organisms.mentioned(low, F.col("organism")))
-    s = s.withColumn("rival", organisms.interfered(low, F.col("organism"), F.col("names")))
-    score = ev.strength() - F.when(F.col("rival"), 10).otherwise(0)
-    against = F.when(F.col("negated") & ~F.col("is_weak") & ~F.col("rival"), ev.against())
-    return s.select("pmid", "organism", "ix", "sent", "label", "metric", "parsed", score.alias("score"), against.alias("against"), F.contains(low, F.lit(p.root)).alias("has_root"))
-
-
-def best(s: DataFrame) -> DataFrame:
-    """(pmid, organism) with the best qualitative, quantitative and negative sentence, the first of equal scores, and the first one to borrow an assay from: one grouped aggregation."""
-    pick = lambda ok, score: F.max(F.when(ok, F.struct(score.alias("score"), (-F.col("ix")).alias("first"), "sent", "label", "metric", "parsed")))
-    ok = F.col("score") > 0
-    lend = F.min(F.when(F.col("has_root") & (F.col("label") != ev.NOT_STATED), F.struct("ix", "label", "sent")))
-    return s.groupBy("pmid", "organism").agg(pick(ok, F.col("score")).alias("qual"), pick(ok & F.col("metric").isNotNull(), F.col("score") + 5).alias("quant"), pick(F.col("against").isNotNull(), F.col("against")).alias("neg"), lend.alias("lend"))
+    columns = f"pmid string, organism string, {PICK}, {LEND}, {REPORTED}, positive boolean"
+    schema, p, unlisted, negative = _rows(columns), o.phenotype, o.discover_genera, o.negative_evidence
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for pmid, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for organism, (pick, lend, reported, positive) in plain.article(plain.normalised(raw), p, unlisted, negative).items():
+                    if pick:
+                        *pick, value = pick
+                        amount, low, high, unit = value or (None,) * 4
+                        pick = (*pick, amount, unit, None if low is None else f"{low:g} – {high:g}")
+                    rows.append((pmid, organism, *(pick or (None,) * 9), *(lend or (None,) * 3), *(reported or (None,) * 3), positive))
+            yield _batch(rows, schema)
+
+    return articles.where("pmid is not null").select("pmid", body.alias("body")).mapInArrow(run, columns)
+
+
+def best(rows: DataFrame) -> DataFrame:
+    """(pmid, organism) with pick, the best sentence (measured ones first, the first of equal scores), lend, reported and positive; a pmid of several articles counts as one."""
+    s = rows.repartition("pmid").select("pmid", "organism", _group(PICK).alias("pick"), _group(LEND, lend_label="label", lend_sent="sent").alias("lend"), _group(REPORTED).alias("reported"), "positive")
+    return s.groupBy("pmid", "organism").agg(F.max("pick").alias("pick"), F.min("lend").alias("lend"), F.min("reported").alias("reported"), F.bool_or("positive").alias("positive"))
 
 
 def reported_accessions(rows: DataFrame) -> DataFrame:
-    """(pmid, organism, accession): each genome accession named in a genome context goes to the organism mentioned last before it; the first of an organism holds, by kind and then place. Ties of position go to the first name."""
-    low = F.lower("body")
-    kind = lambda k: lambda m: F.struct(F.lit(k).alias("kind"), m["pos"].alias("pos"), m["m"].alias("acc"))
-    every = F.concat(*(F.transform(text.matches(F.col("body"), a), kind(k)) for k, a in enumerate(ACCESSIONS)))
-    r = rows.where(F.size("names") > 0).select("pmid", low.alias("low"), F.transform("names", lambda n: F.struct(n.alias("n"), organisms.all_positions(low, n).alias("at"))).alias("named"), every.alias("every"))
-    r = r.select("pmid", "low", "named", F.explode("every").alias("a"))
-    start = F.greatest(F.lit(0), F.col("a.pos") - 200)
-    r = r.where(F.substring("low", start + 1, F.col("a.pos") - start).rlike(text.any_of(GENOME_WORDS)))
-    last = F.transform("named", lambda x: F.struct(F.array_max(F.filter(x["at"], lambda p: p < F.col("a.pos"))).alias("p"), x["n"].alias("n")))
-    near = F.try_element_at(F.array_sort(F.filter(last, lambda x: x["p"].isNotNull()), lambda x, y: F.when(x["p"] > y["p"], -1).when(x["p"] < y["p"], 1).when(x["n"] < y["n"], -1).when(x["n"] > y["n"], 1).otherwise(0)), F.lit(1))
-    return r.select("pmid", near["n"].alias("organism"), "a").where("organism is not null").groupBy("pmid", "organism").agg(F.min_by("a.acc", F.struct("a.kind", "a.pos")).alias("accession"))
+    """(pmid, organism, accession) of rows (pmid, body, names): each genome accession named in a genome context goes to the organism mentioned last before it; the first of an organism holds, by kind and then place. Ties of position go to the first name."""
+    columns = f"pmid string, organism string, {REPORTED}"
+    schema = _rows(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _batch([(pmid, n, *a) for pmid, body, names in zip(*(c.to_pylist() for c in batch.columns), strict=True) for n, a in plain.accessions(body or "", names or []).items()], schema)
+
+    found = rows.select("pmid", "body", "names").mapInArrow(run, columns)
+    return found.groupBy("pmid", "organism").agg(F.min(F.struct("kind", "pos", "accession")).alias("a")).select("pmid", "organism", "a.accession")
 
 
 def mine(articles: DataFrame, o: Options, taxonomy: DataFrame | None = None, assemblies: DataFrame | None = None) -> DataFrame:
     """Evidence rows of chosen() articles, in their fixed columns.
 
     taxonomy: (name, tax_id, superkingdom), needed to verify names; assemblies: (organism, accession),
-    looked up where the article reports none. Articles are kept together by pmid: one shuffle for the
-    best sentences, one for accessions, and lookups of distinct names by join.
+    looked up where the article reports none. An article is worked through once, where it is read; what
+    it says of each organism is shuffled once, by pmid, which the join with the articles' columns needs too.
     """
     articles = chosen(articles, o)
-    rows = prepared(spread(articles), o)
-    b = best(scored_sentences(rows, o))
+    b = best(evidence_rows(spread(articles), o))
     none = F.lit(None)
     if o.negative_evidence:
-        b = b.where(F.col("qual").isNull() & F.col("quant").isNull() & F.col("neg").isNotNull()).withColumns({"pick": F.col("neg"), "value": none.cast(metrics.METRIC), "metric": F.lit("N/A")})
-    else:
-        if o.strict_metric:
-            b = b.where(F.col("quant").isNotNull())
-        b = b.withColumn("pick", F.coalesce("quant", "qual")).withColumns({"value": F.col("quant.parsed"), "metric": F.coalesce("quant.metric", F.lit("N/A"))})
+        b = b.where(~F.col("positive"))
+    elif o.strict_metric:
+        b = b.where("pick.measured = 1")
     b = b.where(F.col("pick.score") >= o.min_score)
-    borrowed = F.lit(not o.negative_evidence) & F.col("quant").isNotNull() & (F.col("pick.label") == ev.NOT_STATED) & F.col("lend").isNotNull()
+    borrowed = F.lit(not o.negative_evidence) & (F.col("pick.measured") == 1) & (F.col("pick.label") == plain.NOT_STATED) & F.col("lend").isNotNull()
     label = F.when(borrowed, F.concat(F.regexp_replace("lend.label", r" \(Reported\)$", ""), F.lit(" (Inferred)"))).otherwise(F.col("pick.label"))
     told = F.when(borrowed & (F.col("lend.sent") != F.col("pick.sent")), F.concat(F.lit("[RESULT]: "), "pick.sent", F.lit(" ... [METHOD CONTEXT]: "), "lend.sent")).otherwise(F.col("pick.sent"))
-    b = b.withColumns({"label": label, "told": told})
+    b = b.withColumns({"label": label, "told": told, "accession": F.col("reported.accession")})
     if o.verify_taxonomy:
         listed = F.split("organism", " ")[0].isin(GENERA) | F.lit(not o.discover_genera)
         known = taxonomy.groupBy(F.col("name").alias("organism")).agg(F.min(F.struct("tax_id", "superkingdom")).alias("t"))
         b = b.join(known, "organism").where(listed | F.col("t.superkingdom").isin("Bacteria", "Archaea")).withColumn("taxonomy_id", F.col("t.tax_id")).drop("t")
     else:
         b = b.withColumn("taxonomy_id", F.lit(""))
-    b = b.join(reported_accessions(rows), ["pmid", "organism"], "left")
     looked_up = none.cast("string")
     if assemblies is not None and not o.skip_genome:
         b = b.join(assemblies.groupBy("organism").agg(F.min("accession").alias("by_name")), "organism", "left")
@@ -143,7 +150,7 @@ def mine(articles: DataFrame, o: Options, taxonomy: DataFrame | None = None, ass
     b = b.join(articles.select("pmid", "pmc_id", "pub_year", "title"), "pmid")
     columns: dict[str, Column] = {
         "pmc_id": F.coalesce(F.nullif("pmc_id", F.lit("")), F.lit("N/A")), "pub_year": F.coalesce("pub_year", F.lit("")), "phenotype": F.lit(o.query), "phenotype_status": F.lit("Negative" if o.negative_evidence else "Positive"),
-        "confidence": ev.tier(F.col("pick.score")), "performance_value": F.col("value.value"), "performance_unit": F.coalesce("value.unit", F.lit("")), "performance_range": F.coalesce(metrics.range_text(F.col("value")), F.lit("")), "performance_metric": F.col("metric"),
+        "confidence": ev.tier(F.col("pick.score")), "performance_value": F.col("pick.value"), "performance_unit": F.coalesce("pick.unit", F.lit("")), "performance_range": F.coalesce("pick.range", F.lit("")), "performance_metric": F.coalesce("pick.metric", F.lit("N/A")),
         "performance_method": F.col("label"), "performance_evidence_sentence": F.col("told"), "genome_accession": F.coalesce("accession", looked_up, F.lit("")), "genome_source": source, "evidence_score": F.col("pick.score"),
     }
     return b.withColumns(columns).select(*EVIDENCE_COLUMNS)
