@@ -21,3 +21,10 @@ def plan(df):
 def test_mine_works_an_article_through_once(spark):
     text = plan(mining.mine(spark.createDataFrame([("1", None, "t", SAID, "2020")], ARTICLES), mining.Options("IAA production", max_articles=None)))
     assert text.count("MapInArrow") == 1 and "regexp" not in text and "Generate" not in text
+
+
+def test_negative_mode_is_one_pass_and_a_pmid_of_two_articles_counts_as_one(spark):
+    rows = [("1", None, "a", SAID, "2020"), ("1", None, "b", DENIED, "2021"), ("2", None, "c", DENIED, "2020"), (None, None, "d", DENIED, "2020")]
+    found = mining.mine(spark.createDataFrame(rows, ARTICLES), mining.Options("IAA production", negative_evidence=True))
+    assert plan(found).count("MapInArrow") == 1
+    assert [(r["pmid"], r["organism"], r["title"], r["evidence_score"], r["performance_metric"]) for r in found.collect()] == [("2", "Pantoea agglomerans", "c", 5, "N/A")]
