@@ -90,3 +90,12 @@ def test_options_choose_articles(spark):
 def test_merge_counts(spark):
     t = spark.range(3).select(F.lit("1").alias("pmid"), F.lit("o").alias("organism"))
     assert [tuple(r) for r in ops.merge_counts([t, t], ops.merge_evidence([t, t])).collect()] == [(6, 1)]
+
+
+def test_a_document_is_parsed_once_and_one_with_two_roots_is_left_out(spark):
+    from phenolith.sources import readers
+
+    xml = "<PubmedArticle><PMID>5</PMID><Article><ArticleTitle>T</ArticleTitle><ArticleDate><Year>2019</Year></ArticleDate></Article></PubmedArticle>"
+    rows = readers.parse_articles(spark.createDataFrame([(xml,), ("<a/><b/>",), ("<p:x/>",), ("",), (None,)], "xml string"))
+    assert "xpath" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in rows.collect()] == [("5", None, "T", "T. ", "2019"), ("", None, "", ". ", "")]
