@@ -20,7 +20,7 @@ def plan(df):
 
 def test_mine_works_an_article_through_once(spark):
     text = plan(mining.mine(spark.createDataFrame([("1", None, "t", SAID, "2020")], ARTICLES), mining.Options("IAA production", max_articles=None)))
-    assert text.count("MapInArrow") == 1 and "regexp" not in text and "Generate" not in text
+    assert text.count("MapInArrow") == 1 and "regexp_extract_all" not in text and "explode" not in text
 
 
 def test_negative_mode_is_one_pass_and_a_pmid_of_two_articles_counts_as_one(spark):
@@ -28,3 +28,10 @@ def test_negative_mode_is_one_pass_and_a_pmid_of_two_articles_counts_as_one(spar
     found = mining.mine(spark.createDataFrame(rows, ARTICLES), mining.Options("IAA production", negative_evidence=True))
     assert plan(found).count("MapInArrow") == 1
     assert [(r["pmid"], r["organism"], r["title"], r["evidence_score"], r["performance_metric"]) for r in found.collect()] == [("2", "Pantoea agglomerans", "c", 5, "N/A")]
+
+
+def test_preview_works_an_article_through_once(spark):
+    rows = [(str(k), None, "t", SAID.replace("40", str(k + 1)), "2020") for k in range(30)]
+    top = mining.preview(mining.mine(spark.createDataFrame(rows, ARTICLES), mining.Options("IAA production", max_articles=None)), 3)
+    assert plan(top).count("MapInArrow") == 1 and "regexp_extract_all" not in plan(top)
+    assert [(r["place"], r["pmid"], r["performance_value"]) for r in top.orderBy("place").collect()] == [(1, "29", 30.0), (2, "28", 29.0), (3, "27", 28.0)]
