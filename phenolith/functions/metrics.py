@@ -9,20 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..lexicons import APPROXIMATE, UNIT_CONTEXT, UNITS, Phenotype
-from .text import general_format, matches, nearest, significant, stripped
+from . import plain
+from .text import significant, stripped
 
 NUMBER = r"(\d+(?:\.\d+)?)"
-FAR = 9999
 METRIC = "struct<raw:string,value:double,value_min:double,value_max:double,unit:string>"
-SUPERSCRIPT = str.maketrans("⁰¹²³⁴⁵⁶⁷⁸⁹⁻⁺", "0123456789-+")
-
-
-def plain_numbers(text: str) -> str:
-    """Powers of ten and e-notation written out, each with six significant digits."""
-    power = lambda m: f"{float(m[1]) * 10.0 ** int(m[2].translate(SUPERSCRIPT)):.6g}"
-    text = re.sub(rf"{NUMBER}\s*x\s*10([⁰¹²³⁴⁵⁶⁷⁸⁹⁻⁺]+)", power, text)
-    text = re.sub(rf"{NUMBER}\s*x\s*10\s*\^?\s*([+-]?\d+)", power, text)
-    return re.sub(r"\d+(?:\.\d+)?[eE][+-]?\d+", lambda m: f"{float(m[0]):.6g}", text)
+MEASURE = pa.struct([("n", pa.int32()), ("value", pa.float64()), ("value_min", pa.float64()), ("value_max", pa.float64()), ("unit", pa.string())])
 
 
 def expand_powers(values: Column) -> Column:
@@ -32,7 +24,7 @@ def expand_powers(values: Column) -> Column:
     def run(lists: pa.Array) -> pa.Array:
         def one(v: str | None) -> str | None:
             try:
-                return None if v is None else plain_numbers(v)
+                return None if v is None else plain.plain_numbers(v)
             except (ValueError, OverflowError):
                 return None
 
@@ -80,29 +72,13 @@ def parsed(raw: Column, cleaned: Column) -> Column:
     )
 
 
-def plain_low(sentence: Column) -> Column:
-    """Lower case, without thousands commas: what candidates() searches."""
-    return F.lower(F.regexp_replace(sentence, r"(?U)(\d),(\d)", "$1$2"))
-
-
-def candidates(low: Column, terms: Column, rivals: Column, p: Phenotype) -> Column:
-    """array<struct<dist, val>> by distance to the phenotype's terms (stable): the values at least as close to them as to any rival's.
-
-    low is a column of plain_low(), terms and rivals are columns of the offsets in it: expressions would be worked out again for every match.
-    """
-
-    def of(k: int, pattern: str) -> Column:
-        # what the match begins with decides between all of it and its number
-        whole = lambda m: m.rlike(r"(?U)^\d") | m.rlike(r"(?iU)^(?:si|psi|index)\b")
-        rows = F.transform(
-            matches(low, pattern, "(?iU)"),
-            lambda m, i: F.struct(nearest(terms, m["pos"], FAR).alias("dist"), F.lit(k).alias("pattern"), i.alias("i"), nearest(rivals, m["pos"], FAR).alias("rival"), F.when(whole(m["m"]), m["m"]).otherwise(F.regexp_extract(m["m"], f"(?iU){pattern}", 1)).alias("val")),
-        )
-        return F.filter(rows, lambda x: (x["dist"] <= x["rival"]) & ~x["val"].rlike(r"(?U)^\s*(?:19|20)\d\d\s*$"))
-
-    parts = [of(k, pattern) for k, pattern in enumerate(p.patterns)]
-    return F.transform(F.array_sort(F.concat(*parts)), lambda x: F.struct(x["dist"], x["val"]))
+def measure(sentence: Column, p: Phenotype) -> Column:
+    """Struct of a sentence: n, its distinct values of the phenotype, and value, value_min, value_max and unit of the one nearest to the phenotype's terms."""
 
+    @F.arrow_udf("struct<n:int,value:double,value_min:double,value_max:double,unit:string>")
+    def run(sentences: pa.Array) -> pa.Array:
+        found = [plain.candidates(plain.plain_low(x or ""), p) for x in sentences.to_pylist()]
+        rows = [(len(set(v)), *((plain.measured(v[0]) if v else None) or (None,) * 4)) for v in found]
+        return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], field.type) for k, field in enumerate(MEASURE)], fields=list(MEASURE))
 
-def range_text(metric: Column) -> Column:
-    return F.when(metric["value_min"].isNotNull(), F.concat(general_format(metric["value_min"]), F.lit(" – "), general_format(metric["value_max"]))).otherwise("")
+    return run(sentence)

@@ -89,11 +89,8 @@ def q_negation_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH m AS (SELECT text, regexp_extract(text, '(\\d+) ± (\\d+) (mg/L|µg/mL|ppm)', 1) AS c, regexp_extract(text, '(\\d+) ± (\\d+) (mg/L|µg/mL|ppm)', 2) AS e, regexp_extract(text, '(\\d+) ± (\\d+) (mg/L|µg/mL|ppm)', 3) AS u FROM ({SYNTH_SQL}))
 SELECT CAST(c AS DOUBLE) AS value, CAST(c AS DOUBLE) - CAST(e AS DOUBLE) AS value_min, CAST(c AS DOUBLE) + CAST(e AS DOUBLE) AS value_max, u AS unit, count(*) AS n FROM m GROUP BY ALL""")
 def q_metric_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = synth(spark, sf_dir).withColumn("plain", metrics.plain_low(F.col("text")))
-    s = s.withColumns({"near": text.term_offsets(F.col("plain"), IAA.terms), "far": text.term_offsets(F.col("plain"), IAA.rivals)})
-    s = s.withColumn("found", metrics.candidates(F.col("plain"), F.col("near"), F.col("far"), IAA))
-    s = s.withColumn("raw", F.try_element_at("found", F.lit(1))["val"]).withColumn("cleaned", F.try_element_at(metrics.expand_powers(F.array(metrics.prepared(F.col("raw")))), F.lit(1)))
-    return s.select(metrics.parsed(F.col("raw"), F.col("cleaned")).alias("m")).groupBy("m.value", "m.value_min", "m.value_max", "m.unit").agg(F.count("*").alias("n"))
+    m = synth(spark, sf_dir).select(metrics.measure(F.col("text"), IAA).alias("m"))
+    return m.groupBy("m.value", "m.value_min", "m.value_max", "m.unit").agg(F.count("*").alias("n"))
 
 
 @query(f"SELECT organism, CASE WHEN contains(text, 'Salkowski') THEN 'Salkowski Reagent Assay' ELSE 'HPLC' END AS method, count(*) AS n FROM ({SYNTH_SQL}) GROUP BY ALL")

@@ -35,3 +35,13 @@ def test_preview_works_an_article_through_once(spark):
     top = mining.preview(mining.mine(spark.createDataFrame(rows, ARTICLES), mining.Options("IAA production", max_articles=None)), 3)
     assert plan(top).count("MapInArrow") == 1 and "regexp_extract_all" not in plan(top)
     assert [(r["place"], r["pmid"], r["performance_value"]) for r in top.orderBy("place").collect()] == [(1, "29", 30.0), (2, "28", 29.0), (3, "27", 28.0)]
+
+
+def test_measures_are_taken_in_one_pass(spark):
+    from phenolith.functions import metrics
+
+    said = ["X made 1,500 ± 3 mg/L IAA and 7 ppm zinc", "IAA 0.15 ppm", "IAA 2015 ppm", "auxin 10-20 µg/mL, 10-20 µg/mL", "none", "", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(said)], "k int, t string").select("k", metrics.measure(F.col("t"), IAA).alias("m"))
+    assert "regexp" not in plan(df)
+    none = (None,) * 4
+    assert [(*r["m"],) for r in df.orderBy("k").collect()] == [(1, 1500.0, 1497.0, 1503.0, "mg/L"), (1, 0.15, None, None, "ppm"), (1, *none), (1, 15.0, 10.0, 20.0, "µg/mL"), (0, *none), (0, *none), (0, *none)]
