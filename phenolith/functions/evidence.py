@@ -2,49 +2,29 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..lexicons import CLAUSE_ENDS, CONFIRMATIONS, MOLECULAR, NEGATIONS, QUALIFIERS, STRONG_VERBS, WEAK_CONTEXTS, Phenotype
-from .text import any_of, found, nearest, offsets, stripped, term_offsets, word_capitals, word_offsets
+from ..lexicons import CLAUSE_ENDS, NEGATIONS, Phenotype
+from . import plain
+from .text import offsets
 
-CONFIRMED = rf"\b(?:{'|'.join(CONFIRMATIONS)})"
-NOT_STATED = "Not Explicitly Stated"
-NOUN = "assay|method|technique|protocol|procedure|bioassay"
-NAME = rf"([A-Za-z][A-Za-z0-9\-]*(?:\s+[A-Za-z0-9\-]+){{0,4}}\s+(?:{NOUN}))"
-GENERIC = [rf"(?:using|via|by|through)\s+(?:the\s+|an?\s+)?{NAME}\b", rf"\b{NAME}\s+(?:was|were)\s+(?:used|performed|conducted|employed|applied)\b"]
-
-
-def methods(low: Column, terms: Column, p: Phenotype) -> Column:
-    """Labels of the assays named in a lower-case sentence, nearest to the phenotype's terms (a column of their offsets) first; molecular ones are left out."""
-    rows, place = [], {}
-    for key, label in p.methods.items():
-        if not any(x in label.lower() for x in MOLECULAR):
-            dist = F.when(F.contains(low, F.lit(key)), F.array_min(F.transform(word_offsets(low, key), lambda x: nearest(terms, x, 0))))
-            rows.append(F.struct(dist.alias("d"), F.lit(place.setdefault(label, len(place))).alias("k"), F.lit(label).alias("label")))
-    return F.array_distinct(F.transform(F.array_sort(F.filter(F.array(*rows), lambda r: r["d"].isNotNull())), lambda r: r["label"]))
-
-
-def generic_method(sentence: Column) -> Column:
-    """An assay named by its phrasing, or null: the first match of each pattern, unless it is molecular."""
-    labels = [F.regexp_replace(stripped(F.regexp_replace(F.regexp_extract(sentence, f"(?iU){g}", 1), r"(?U)\s+", " ")), "^[ -]+|[ -]+$", "") for g in GENERIC]
-    return F.coalesce(*(F.when((x != "") & ~F.lower(x).rlike(any_of(MOLECULAR)), word_capitals(x)) for x in labels))
+EVIDENCE = pa.struct([("label", pa.string()), ("n_methods", pa.int32()), ("n_verbs", pa.int32()), ("base", pa.int32()), ("is_weak", pa.bool_()), ("negated", pa.bool_()), ("confirmed", pa.bool_())])
 
 
 def with_evidence(df: DataFrame, p: Phenotype, sentence: str = "sent") -> DataFrame:
-    """df with low, terms, label, n_methods, base, is_weak, negated and confirmed of a sentence.
+    """df with label, n_methods, n_verbs, base, is_weak, negated and confirmed of a sentence.
 
-    The assays are listed ones, else a generic one marked as reported, else none (n_methods 0). Each
-    step is a projection of its own, so that Catalyst does not repeat what several columns use.
+    The assays are listed ones, else a generic one marked as reported, else none (n_methods 0).
     """
-    low, terms = F.col("low"), F.col("terms")
-    s = df.withColumn("low", F.lower(sentence)).withColumn("terms", term_offsets(low, p.terms))
-    s = s.withColumn("_listed", methods(low, terms, p))
-    s = s.withColumn("_other", F.when((F.size("_listed") == 0) & low.rlike(NOUN), generic_method(F.col(sentence))))
-    listed = F.size("_listed") > 0
-    label = F.when(listed, F.array_join("_listed", ", ")).when(F.col("_other").isNotNull(), F.concat("_other", F.lit(" (Reported)"))).otherwise(NOT_STATED)
-    s = s.withColumns({"label": label, "n_methods": F.when(listed, F.size("_listed")).when(F.col("_other").isNotNull(), 1).otherwise(0)}).drop("_listed", "_other")
-    return s.withColumns({"base": points(low, terms, F.col("n_methods")), "is_weak": weak(low), "negated": negated(low, terms), "confirmed": found(low, CONFIRMED)})
+
+    @F.arrow_udf("struct<label:string,n_methods:int,n_verbs:int,base:int,is_weak:boolean,negated:boolean,confirmed:boolean>")
+    def run(sentences: pa.Array) -> pa.Array:
+        rows = [plain.evidence(x or "", p) for x in sentences.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], field.type) for k, field in enumerate(EVIDENCE, 1)], fields=list(EVIDENCE))
+
+    return df.withColumn("_evidence", run(F.col(sentence))).select(*df.columns, *(f"_evidence.{field.name}" for field in EVIDENCE))
 
 
 def strength() -> Column:
@@ -65,23 +45,5 @@ def negated(low: Column, terms: Column) -> Column:
     return (F.size(terms) > 0) & low.rlike("(?iU)" + "|".join(NEGATIONS)) & F.arrays_overlap(F.transform(nots, clause), F.transform(terms, clause))
 
 
-def points(low: Column, terms: Column, n_methods: Column) -> Column:
-    """What a sentence is worth before it is weakened, negated or interfered with."""
-    # most sentences hold one verb at most: the list is gone through for the others only
-    hits = F.regexp_count(low, F.lit(rf"(?iU)\b(?:{'|'.join(STRONG_VERBS)})"))
-    verbs = F.when(hits >= 2, sum(found(low, rf"\b{v}").cast("int") for v in STRONG_VERBS)).otherwise(hits)
-    plus = lambda c, n: F.when(c, n).otherwise(0)
-    return (
-        plus(F.size(terms) > 0, 2) + plus(verbs >= 1, 3) + plus(verbs >= 2, 1)
-        + plus(found(low, CONFIRMED), 2)
-        + plus(found(low, rf"\b(?:{'|'.join(QUALIFIERS)})"), 1)
-        + plus(n_methods > 0, 2 + F.least(n_methods - 1, F.lit(2)))
-    )
-
-
-def weak(low: Column) -> Column:
-    return low.rlike(any_of(WEAK_CONTEXTS))
-
-
 def tier(score: Column) -> Column:
     return F.when(score >= 14, "Very High").when(score >= 9, "High").when(score >= 5, "Medium").otherwise("Low")

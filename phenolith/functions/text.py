@@ -27,11 +27,6 @@ def stripped(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def normalised(text: Column) -> Column:
-    """Greek mu, minus sign and multiplication sign as the characters that unit patterns expect."""
-    return F.translate(text, "μ−×", "µ-x")
-
-
 def matches(text: Column, pattern: Column | str, flags: str = "(?U)") -> Column:
     """array<struct<pos, m>> of all matches in order: gap and match lengths are added up."""
     p = F.lit(flags + pattern) if isinstance(pattern, str) else F.concat(F.lit(flags), pattern)
@@ -60,24 +55,6 @@ def term_offsets(text: Column, terms: list[str]) -> Column:
     return F.flatten(F.array(*(word_offsets(text, t) for t in terms))) if terms else F.array().cast("array<int>")
 
 
-def nearest(positions: Column, at: Column, default: int) -> Column:
-    """Least distance from at to any of the positions, or the default where there is none."""
-    return F.coalesce(F.array_min(F.transform(positions, lambda p: F.abs(p - at))), F.lit(default))
-
-
-def abbreviations(text: Column) -> Column:
-    """array<struct<abbr, full>> of `Genus species (G. species)`, in order of first mention; of two meanings the later holds."""
-    p = r"(?U)\b([A-Z][a-z]+\s+[a-z]+)\s+\(([A-Z]\.\s*[a-z]+)\)"
-    short = F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(2)), lambda a: stripped(F.regexp_replace(a, r"(?U)\s+", " ")))
-    pairs = F.zip_with(short, F.regexp_extract_all(text, F.lit(p), F.lit(1)), lambda a, b: F.struct(a.alias("g"), b.alias("m")))
-    return F.transform(F.array_distinct(short), lambda a: F.struct(a.alias("abbr"), F.element_at(F.filter(pairs, lambda x: x["g"] == a), -1)["m"].alias("full")))
-
-
-def expanded(text: Column, pairs: Column) -> Column:
-    """Abbreviations replaced one after the other, as literal text."""
-    return F.aggregate(pairs, text, lambda t, p: F.replace(t, p["abbr"], p["full"]))
-
-
 def sentences(text: Column) -> Column:
     """Split at one white-space character after . ? or !, but not after shapes like x.y. or Mr.; fragments after a known abbreviation, or after a single capital with a lower-case word next, are joined again."""
     parts = F.split(text, r"(?U)(?<!\w\.\w.)(?<![A-Z][a-z]\.)(?<=[.?!])\s", -1)
@@ -101,11 +78,6 @@ def significant(value: Column, digits: int = 4) -> Column:
     return F.when(value == 0, F.lit(0.0)).otherwise(F.rint(value * factor) / factor)
 
 
-def word_capitals(text: Column) -> Column:
-    """Words of lower case get a capital; others stay."""
-    return F.array_join(F.transform(F.split(text, " "), lambda w: F.when(w == F.lower(w), F.initcap(w)).otherwise(w)), " ")
-
-
 def general_format(value: Column, digits: int = 6) -> Column:
     """A number as C's %.{digits}g writes it."""
     a = F.abs(value)

@@ -45,3 +45,18 @@ def test_measures_are_taken_in_one_pass(spark):
     assert "regexp" not in plan(df)
     none = (None,) * 4
     assert [(*r["m"],) for r in df.orderBy("k").collect()] == [(1, 1500.0, 1497.0, 1503.0, "mg/L"), (1, 0.15, None, None, "ppm"), (1, *none), (1, 15.0, 10.0, 20.0, "µg/mL"), (0, *none), (0, *none), (0, *none)]
+
+
+def test_evidence_is_one_pass_and_negation_is_that_of_the_expressions(spark):
+    from phenolith.functions import evidence, text
+
+    r = random.Random(3)
+    bits = ["X", "did not produce", "IAA", "auxin", ",", "but", "whereas", "however", "failed to", "no clear activity", "lacked", "nonproducing", "ſhow", "cafés", "it was not able to fix", "±", "undetectable", ";", "é", "indole"]
+    said = [" ".join(r.choice(bits) for _ in range(r.randint(1, 9))) for _ in range(300)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(said)], "k int, sent string")
+    told = evidence.with_evidence(df, IAA)
+    assert "regexp" not in plan(told.select("negated"))
+    got = [r["negated"] for r in told.orderBy("k").collect()]
+    low = F.lower("sent")
+    want = [r["x"] for r in df.select("k", evidence.negated(low, text.term_offsets(low, IAA.terms)).alias("x")).orderBy("k").collect()]
+    assert got == want and any(got) and not all(got)
