@@ -60,3 +60,11 @@ def test_evidence_is_one_pass_and_negation_is_that_of_the_expressions(spark):
     low = F.lower("sent")
     want = [r["x"] for r in df.select("k", evidence.negated(low, text.term_offsets(low, IAA.terms)).alias("x")).orderBy("k").collect()]
     assert got == want and any(got) and not all(got)
+
+
+def test_score_comes_with_its_verbs(spark):
+    from phenolith.functions import evidence
+
+    df = spark.createDataFrame([("It produced and secreted IAA, biosynthesis confirmed",), ("reproduced",), (None,)], "sent string")
+    told = evidence.with_evidence(df, IAA).select("n_verbs", "base", evidence.strength().alias("score"))
+    assert "regexp" not in plan(told) and sorted(map(tuple, told.collect())) == [(0, 0, 0), (0, 0, 0), (3, 8, 8)]
