@@ -100,10 +100,11 @@ def q_method_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH s AS (SELECT DISTINCT doc_id, organism FROM ({SYNTH_SQL})), p AS (SELECT a.doc_id, a.organism AS target, b.organism AS other FROM s a JOIN s b ON a.doc_id = b.doc_id AND a.organism <> b.organism)
 SELECT target, other, split_part(target, ' ', 1) <> split_part(other, ' ', 1) AS interferes, count(*) AS n FROM p GROUP BY ALL""")
 def q_interference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = synth(spark, sf_dir).select("doc_id", "organism").distinct()
-    pairs = s.withColumnRenamed("organism", "target").join(s.withColumnRenamed("organism", "other"), "doc_id").where("target <> other")
+    # the organisms of a text meet in one row of it, after one shuffle; the sentence depends on their names alone
+    s = synth(spark, sf_dir).where("doc_id is not null").select("doc_id", "organism").repartition("doc_id").distinct().groupBy("doc_id").agg(F.collect_set("organism").alias("all"))
+    pairs = s.select("all", F.explode("all").alias("target")).select("target", F.explode("all").alias("other")).where("target <> other").groupBy("target", "other").agg(F.count("*").alias("n"))
     said = F.lower(F.concat(F.lit("Unlike "), "other", F.lit(", "), "target", F.lit(" produced IAA.")))
-    return pairs.groupBy("target", "other", organisms.interfered(said, F.col("target"), F.array("other")).alias("interferes")).agg(F.count("*").alias("n"))
+    return pairs.select("target", "other", organisms.interfered(said, F.col("target"), F.array("other")).alias("interferes"), "n")
 
 
 @query("""SELECT doc_id, CAST(len(string_split(regexp_replace(text, '([.?!])[ \t\n\r\f\v]', '\\1' || chr(1), 'g'), chr(1))) AS BIGINT) AS n FROM documents""")

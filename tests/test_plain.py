@@ -68,3 +68,10 @@ def test_score_comes_with_its_verbs(spark):
     df = spark.createDataFrame([("It produced and secreted IAA, biosynthesis confirmed",), ("reproduced",), (None,)], "sent string")
     told = evidence.with_evidence(df, IAA).select("n_verbs", "base", evidence.strength().alias("score"))
     assert "regexp" not in plan(told) and sorted(map(tuple, told.collect())) == [(0, 0, 0), (0, 0, 0), (3, 8, 8)]
+
+
+def test_interference_pairs_organisms_without_a_join(spark):
+    import __spark_entry__ as e
+
+    text = plan(e.queries()["q_interference"](spark, "/root/testdata/sf0.001"))
+    assert "Join" not in text and text.index("regexp_instr") < text.index("Generate")
