@@ -75,3 +75,10 @@ def test_interference_pairs_organisms_without_a_join(spark):
 
     text = plan(e.queries()["q_interference"](spark, "/root/testdata/sf0.001"))
     assert "Join" not in text and text.index("regexp_instr") < text.index("Generate")
+
+
+def test_best_sentence_scores_in_one_pass(spark):
+    import __spark_entry__ as e
+
+    text = plan(e.queries()["q_best_sentence"](spark, "/root/testdata/sf0.001"))
+    assert text.count("ArrowEvalPython") == 1 and "regexp" not in text and "RLIKE" not in text
