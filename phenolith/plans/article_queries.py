@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import metrics, organisms, text
+from ..functions import metrics, organisms
 from ..operators import tables as ops
 from ..sources import readers
 from . import mining
@@ -114,11 +114,7 @@ def q_metric_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     low = low.when(form == 1, F.concat(far, F.lit(" ppm phosphate and then in the end "), near, F.lit(" mg/l iaa")))
     low = low.otherwise(F.concat(F.lit("iaa reached "), far, F.lit(" ppm although zinc stayed at "), near, F.lit(" mg/l zinc")))
     s = ops.spread(table(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("k"), low.alias("low"))
-    s = s.withColumns({"near": text.term_offsets(F.col("low"), IAA.terms), "far": text.term_offsets(F.col("low"), IAA.rivals)})
-    s = s.withColumn("found", metrics.candidates(F.col("low"), F.col("near"), F.col("far"), IAA))
-    s = s.withColumn("cleaned", metrics.expand_powers(F.transform("found", lambda x: metrics.prepared(x["val"]))))
-    first = metrics.parsed(F.try_element_at("found", F.lit(1))["val"], F.try_element_at("cleaned", F.lit(1)))
-    return s.select("k", first.alias("m"), F.size(F.array_distinct(F.transform("found", lambda x: x["val"]))).alias("n")).select("k", "m.value", "m.unit", "n")
+    return s.select("k", metrics.measure(F.col("low"), IAA).alias("m")).select("k", "m.value", "m.unit", "m.n")
 
 
 @query(f"""WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS pmid, {_pick_sql(NAMES, "o_custkey % 5")} AS one, {_pick_sql(NAMES, "(o_custkey + 1 + o_orderkey % 4) % 5")} AS two, lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS n, o_orderkey % 3 AS form FROM orders)

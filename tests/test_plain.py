@@ -82,3 +82,10 @@ def test_best_sentence_scores_in_one_pass(spark):
 
     text = plan(e.queries()["q_best_sentence"](spark, "/root/testdata/sf0.001"))
     assert text.count("ArrowEvalPython") == 1 and "regexp" not in text and "RLIKE" not in text
+
+
+def test_nearest_value_is_found_in_one_pass(spark):
+    import __spark_entry__ as e
+
+    text = plan(e.queries()["q_metric_nearest"](spark, "/root/testdata/sf0.001"))
+    assert text.count("ArrowEvalPython") == 1 and "regexp" not in text
