@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..lexicons import GENERA, GENERIC_STRAINS, INVALID_SPECIES, PLANT_GENERA, STOP_WORDS
-from .text import any_of, matches, offsets
+from ..lexicons import GENERA, INVALID_SPECIES, PLANT_GENERA, STOP_WORDS
+from . import plain
 
 FULL = r"\b([A-Z][a-z]+)\s+([a-z0-9]+(?:[\.-][a-z0-9]+)?)\b"
-SHORT = r"\b([A-Z])\.\s*([a-z]+(?:[\.-][a-z]+)?)\b"
 
 
 def canonical(name: Column, unlisted: bool = False) -> Column:
@@ -25,15 +25,12 @@ def canonical(name: Column, unlisted: bool = False) -> Column:
 
 def with_candidates(df: DataFrame, text: str, name: str, unlisted: bool = False) -> DataFrame:
     """df with the sorted distinct names in a text: full ones, and abbreviated ones whose initial has exactly one full genus before them."""
-    full = F.col("_full")
-    s = df.withColumns({"_full": F.transform(matches(F.col(text), FULL), lambda x: F.struct(x["pos"].alias("pos"), F.regexp_extract(x["m"], FULL, 1).alias("genus"), canonical(x["m"], unlisted).alias("name"))), "_short": matches(F.col(text), SHORT)})
 
-    def resolved(x: Column) -> Column:
-        before = F.array_distinct(F.transform(F.filter(full, lambda g: (g["pos"] < x["pos"]) & (F.substring(g["genus"], 1, 1) == F.substring(x["m"], 1, 1))), lambda g: g["genus"]))
-        return F.when(F.size(before) == 1, canonical(F.concat(F.try_element_at(before, F.lit(1)), F.lit(" "), F.regexp_extract(x["m"], SHORT, 2)), unlisted))
+    @F.arrow_udf("array<string>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else plain.names(x, unlisted) for x in texts.to_pylist()], pa.list_(pa.string()))
 
-    every = F.concat(F.transform(full, lambda x: x["name"]), F.transform("_short", resolved))
-    return s.withColumn(name, F.array_sort(F.array_distinct(F.filter(every, lambda x: x.isNotNull())))).drop("_full", "_short")
+    return df.withColumn(name, run(F.col(text)))
 
 
 def _parts(organism: Column) -> tuple[Column, Column]:
@@ -42,12 +39,6 @@ def _parts(organism: Column) -> tuple[Column, Column]:
     return words[0], F.concat(F.substring(words[0], 1, 1), F.lit(r"\.\s*"), words[1])
 
 
-def mentioned(low: Column, organism: Column) -> Column:
-    """Whether a lower-case sentence holds the genus, the abbreviated name or a generic reference."""
-    genus, short = _parts(organism)
-    return F.contains(low, genus) | F.regexp_like(low, short) | low.rlike(any_of(GENERIC_STRAINS))
-
-
 def position(low: Column, organism: Column) -> Column:
     """Offset of the full name, else of the abbreviated one, else of the genus; -1 if none is there."""
     genus, short = _parts(organism)
@@ -59,7 +50,3 @@ def interfered(low: Column, organism: Column, others: Column) -> Column:
     """Whether another genus stands at or before the organism in the sentence."""
     genus, own = _parts(organism)[0], position(low, organism)
     return (own >= 0) & F.exists(others, lambda o: (_parts(o)[0] != genus) & position(low, o).between(0, own))
-
-
-def all_positions(low: Column, organism: Column) -> Column:
-    return F.concat(offsets(low, F.lower(organism)), offsets(low, _parts(organism)[1]))
