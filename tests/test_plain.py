@@ -89,3 +89,11 @@ def test_nearest_value_is_found_in_one_pass(spark):
 
     text = plan(e.queries()["q_metric_nearest"](spark, "/root/testdata/sf0.001"))
     assert text.count("ArrowEvalPython") == 1 and "regexp" not in text
+
+
+def test_reported_accessions_are_one_pass(spark):
+    from phenolith.functions import organisms
+
+    body = "The genome of Bacillus cereus is PRJNA12 and GCF_000000001.1. See GCF_000000009.1, deposited for B. cereus and Pantoea agglomerans as AB12345.1"
+    found = mining.reported_accessions(organisms.with_candidates(spark.createDataFrame([("1", body), ("2", None)], "pmid string, body string"), "body", "names"))
+    assert "regexp" not in plan(found) and sorted(map(tuple, found.collect())) == [("1", "Bacillus cereus", "GCF_000000001.1"), ("1", "Pantoea agglomerans", "AB12345.1")]
